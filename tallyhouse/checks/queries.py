@@ -816,7 +816,7 @@ QUERIES["recon_keyed_diff_schedule"] = lambda t: reconcile.diff_totals(
     reconcile.keyed_diff(t["dim_payment_schedule"], t["dim_payment_schedule_copy"], ["payment_schedule_id"]))
 QUERIES["recon_column_mismatches"] = lambda t: reconcile.column_mismatches(t["dim_customer"], t["dim_customer_copy"], ["customer_id"])
 QUERIES["recon_summary"] = lambda t: reconcile.reconcile_all(dimension_pairs(t))
-QUERIES["recon_landing_summary"] = lambda t: reconcile.reconcile_all(landing_pairs(t), reconcile.landing_summary)
+QUERIES["recon_landing_summary"] = lambda t: reconcile.reconcile_all(landing_pairs(t), reconcile.landing_summary, START, END)
 QUERIES["recon_query_vs_table"] = QUERIES["config_query_vs_table"]
 QUERIES["rule_item_type"] = lambda t: reconcile.check_rules(t["dim_payment_schedule"], rules.payment_rules())
 for _parity, _tail in ((False, ""), (True, "_parity")):
