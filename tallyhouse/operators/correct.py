@@ -31,10 +31,14 @@ def apply_updates(target: DataFrame, updates: Sequence[Update], attach: dict[str
     """Run the updates in order; each sees what the ones before it wrote.
 
     A table needed by several updates is joined a single time, before the first of them,
-    so the chain costs as many joins as it reads tables, not as it has steps.
+    so the chain costs as many joins as it reads tables, not as it has steps. The joins
+    run in the order of `attach`: with those on one key side by side, the target is
+    shuffled once per key.
     """
-    for need in dict.fromkeys(n for update in updates for n in update.needs):
-        target = attach[need](target)
+    needed = {need for update in updates for need in update.needs}
+    for need, join in attach.items():
+        if need in needed:
+            target = join(target)
     for update in updates:
         target = update_where(target, update.condition, update.changes, update.flag)
     return target

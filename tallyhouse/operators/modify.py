@@ -63,31 +63,26 @@ def merge_upsert(
     source = one_row_per_key(source, keys, on_duplicate, order_by)
     written = set(source.columns)
     t, s = target.alias("t"), source.withColumn("_in_source", F.lit(True)).alias("s")
-    hit, known = F.col("s._in_source").isNotNull(), F.col(f"t.{keys[0]}").isNotNull()
 
-    def after(name: str) -> Column:
+    def after(name: str) -> str:
         if name in keys or name not in written:
-            return F.col(f"t.{name}")
+            return f"t.`{name}`"
         if name in insert_only:
-            return F.when(known, F.col(f"t.{name}")).otherwise(F.col(f"s.{name}")).alias(name)
-        return F.when(hit, F.col(f"s.{name}")).otherwise(F.col(f"t.{name}")).alias(name)
-
-    def inserted(name: str) -> Column:
-        dtype = target.schema[name].dataType
-        return (F.col(name) if name in written else F.lit(None)).cast(dtype).alias(name)
+            return f"CASE WHEN t.`{keys[0]}` IS NOT NULL THEN t.`{name}` ELSE s.`{name}` END AS `{name}`"
+        return f"CASE WHEN s._in_source THEN s.`{name}` ELSE t.`{name}` END AS `{name}`"
 
     kept = [after(name) for name in target.columns]
-    new = [inserted(name) for name in target.columns]
+    new = [f"CAST({f'`{name}`' if name in written else 'NULL'} AS {dtype}) AS `{name}`" for name, dtype in target.dtypes]
     if op_column:
-        kept.append(F.when(hit, UPDATE).otherwise(KEEP).alias(op_column))
-        new.append(F.lit(INSERT).alias(op_column))
+        kept.append(f"CASE WHEN s._in_source THEN '{UPDATE}' ELSE '{KEEP}' END AS {op_column}")
+        new.append(f"'{INSERT}' AS {op_column}")
 
     on = all_of([F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys])
-    updated = t.join(s, on, "left").select(*kept)
+    updated = t.join(s, on, "left").selectExpr(*kept)
     known_keys = target.select(*keys)
     if small_source:
         known_keys = only_in_both(known_keys, source, keys, right_unique=True)
-    return updated.unionByName(only_in_left(source, known_keys, keys, right_unique=True).select(*new))
+    return updated.unionByName(only_in_left(source, known_keys, keys, right_unique=True).selectExpr(*new))
 
 
 def update_where(target: DataFrame, condition: Column, changes: dict[str, Column], flag: str | None = None) -> DataFrame:

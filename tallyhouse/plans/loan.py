@@ -43,15 +43,14 @@ def loan_source(landing: Tables, window: ChangeWindow, now: str, narrow_first: b
     entities = landing["lms_entities"].select("lms_entity_id", "entity_name", "organization_id").alias("e")
     organizations = landing["upm_organizations"].select("organization_id", "organization_name").alias("o")
     levels = landing["risk_level"].select("id", "risk_code", "description").alias("r")
-    auto = {"is_nc_auto_fund", "is_nc_auto_fund_flow", "is_auto_fund"}
     special = {
         "origination_date": C.date_of("b.origination_date", "h.origination_timestamp"),
         "loan_status": C.loan_status("h.status", "b.loan_status"),
-        **{name: C.or_zero(f"h.{name}") for name in auto},
+        **{name: C.or_zero(f"h.{name}") for name in ("is_nc_auto_fund", "is_nc_auto_fund_flow", "is_auto_fund")},
     }
 
     def taken(side: str, names: list[str]) -> list:
-        return [special.get(name, F.col(f"{side}.{name}")).alias(name) for name in names]
+        return [special[name].alias(name) if name in special else f"{side}.{name}" for name in names]
 
     return (
         b.join(h, F.col("b.loan_header_id") == F.col("h.loan_header_id"))

@@ -13,7 +13,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tallyhouse.functions.cleaning import binary_to_hex
 from tallyhouse.sources.scan import plain_names
@@ -37,17 +36,16 @@ def aligned(source: DataFrame, target: DataFrame) -> tuple[DataFrame, DataFrame]
     source, target = plain_names(source), plain_names(target)
     common = sorted(set(source.columns) & set(target.columns))
 
-    def column(df: DataFrame, other: DataFrame, name: str) -> Column:
-        dtype = df.schema[name].dataType
-        if isinstance(dtype, T.BinaryType):
+    source_types, target_types = dict(source.dtypes), dict(target.dtypes)
+
+    def column(name: str, dtype: str, other: str) -> Column | str:
+        if dtype == "binary":
             return binary_to_hex(name).alias(name)
-        if dtype != other.schema[name].dataType:
-            return F.col(name).cast("string").alias(name)
-        return F.col(name)
+        return name if dtype == other else F.col(name).cast("string").alias(name)
 
     return (
-        source.select(*[column(source, target, c) for c in common]),
-        target.select(*[column(target, source, c) for c in common]),
+        source.select(*[column(c, source_types[c], target_types[c]) for c in common]),
+        target.select(*[column(c, target_types[c], source_types[c]) for c in common]),
     )
 
 
@@ -80,7 +78,7 @@ def schema_report(source: DataFrame, target: DataFrame) -> DataFrame:
 
 def null_counts(df: DataFrame, count_name: str) -> DataFrame:
     """Nulls per column: one aggregate row turned into one row per column."""
-    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns])
+    counts = df.agg(*[F.expr(f"count_if(`{c}` IS NULL) AS `{c}`") for c in df.columns])
     return counts.unpivot([], df.columns, "column_name", count_name)
 
 
@@ -185,12 +183,12 @@ def _fingerprint(df: DataFrame, seed: int) -> Column:
 
     A null leaves a hash unchanged, so whether each column is null is hashed too.
     """
-    cells = [part for c in df.columns for part in (F.col(c), F.col(c).isNull())]
-    return F.sum(F.xxhash64(F.lit(seed), *cells).cast("decimal(38,0)"))
+    cells = ", ".join(f"`{c}`, `{c}` IS NULL" for c in df.columns)
+    return F.expr(f"sum(CAST(xxhash64({seed}, {cells}) AS decimal(38,0)))")
 
 
 def _profile(df: DataFrame) -> DataFrame:
-    nulls = F.array(*[F.count_if(F.col(c).isNull()) for c in df.columns])
+    nulls = F.expr(f"array({', '.join(f'count_if(`{c}` IS NULL)' for c in df.columns)})")
     return df.agg(
         F.count(F.lit(1)).alias("rows"), nulls.alias("nulls"),
         F.struct(_fingerprint(df, 1).alias("a"), _fingerprint(df, 2).alias("b")).alias("content"),
