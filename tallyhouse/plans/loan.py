@@ -19,6 +19,15 @@ from tallyhouse.sources import schemas as S
 
 KEYS = ["base_loan_id"]
 
+# Columns the corrections write, and those they only read.
+CORRECTED = [
+    "loan_status", "lms_status", "campaign_name", "withdrawn_timestamp", "loan_amount", "delinquent_date",
+    "default_date", "loan_interest_pct",
+]
+CORRECTION_READS = [
+    "base_loan_id", "loan_header_id", "campaign_id", "organization_id", "loan_type", "last_update", "process_timestamp",
+]
+
 
 def first_open_time(landing: Tables) -> DataFrame:
     """Time of the first `open` action per header."""
@@ -300,8 +309,22 @@ def loan_job(
     landing: Tables, target: DataFrame, reject_log: DataFrame, window: ChangeWindow, now: str,
     parity: bool = False, small_source: bool = False, campaign_start: str = V.CAMPAIGN_START,
 ) -> JobResult:
+    """Merge and corrections in one plan.
+
+    A loan row has a hundred columns, its corrections read and write a few and need three
+    different join keys. So they run over a narrow projection, and what they changed is
+    joined back by loan: the wide rows are shuffled once, by the merge.
+    """
     merged = loan_merge(landing, target, window, now, small_source)
-    corrected, updates = correct_loans(landing, merged, window, now, parity, campaign_start=campaign_start)
+    narrow, updates = correct_loans(
+        landing, merged.select(*CORRECTION_READS, *CORRECTED), window, now, parity, campaign_start=campaign_start
+    )
+    flags = [update.flag for update in updates]
+    fixed = narrow.select("base_loan_id", F.lit(True).alias("_fixed"), *[F.col(c).alias(f"_new_{c}") for c in CORRECTED], *flags)
+    replaced = [
+        f"CASE WHEN _fixed THEN `_new_{c}` ELSE `{c}` END AS `{c}`" if c in CORRECTED else f"`{c}`" for c in merged.columns
+    ]
+    corrected = merged.join(fixed, "base_loan_id", "left").selectExpr(*replaced, *flags)
     resolved = resolve_rejects(landing, reject_log, now, parity)
     orphans = orphan_headers(landing, window, now, None if parity else resolved)
     return JobResult(
