@@ -39,6 +39,7 @@ def main() -> None:
             start = time.perf_counter()
             queries[name](spark, folder).write.format("noop").mode("overwrite").save()
             seconds[name] = round(time.perf_counter() - start, 3)
+        print(name, seconds[name], file=sys.stderr, flush=True)
     spark.stop()
     print(json.dumps({
         "metric": "total seconds over all queries", "value": round(sum(seconds.values()), 3), "unit": "sec",
