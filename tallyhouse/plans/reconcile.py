@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.functions.cleaning import binary_to_hex
-from tallyhouse.sources.scan import plain_names
+from tallyhouse.sources.scan import plain_names, read_source
 
 MATCH, MISMATCH, EQUIVALENT = "Match", "Mismatch", "Equivalent"
 
@@ -241,8 +241,6 @@ def reconcile_all(
     lo: str | None = None, hi: str | None = None,
 ) -> DataFrame:
     """One report row per pair; a pair with a time column is compared inside the window only."""
-    from tallyhouse.sources.scan import read_source
-
     def window(df: DataFrame, column: str | None) -> DataFrame:
         return read_source(df, column, lo, hi) if column and lo else df
 
