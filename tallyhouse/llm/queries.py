@@ -7,8 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import pii, secrets_ledger, sharding, simhash
-from tallyhouse.llm.common import read, shared_folder, text_or_empty
+from tallyhouse.llm import (
+    decontaminate, host_quality, packing, pii, repair_ids, secrets_ledger, sharding, simhash,
+    suffix_dedup, toxicity,
+)
+from tallyhouse.llm.common import read, shared_folder, stored, text_or_empty
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -26,6 +29,36 @@ def count_kind(spans: str, kind: str):
     return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
 
+@query
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pieces(read(spark, sf_dir, "documents"))
+    return packing.pack(stored(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")))
+
+
+@query
+def op2_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    names = [f.name for f in docs.schema.fields if f.name != "text"]
+    judged = host_quality.judged(docs, keep=names)
+    return judged.select("doc_id", *host_quality.FEATURES, "base_failed", "kept")
+
+
+@query
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix_dedup.deduplicated(docs, keep=["doc_id"]).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256).alias("kept_sha256"))
+
+
+@query
+def op4_repair_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = shared_folder(spark)
+    repair_ids.write(read(spark, sf_dir, "documents"), folder)
+    ids = repair_ids.read(spark, folder)
+    return ids.select(
+        "doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+
+
 @query
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
@@ -38,6 +71,12 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.matches(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return found.drop("text_hash")
+
+
 @query
 def op7_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
@@ -72,5 +111,11 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents").select("doc_id", "text"), keep=["doc_id"])
 
 
+@query
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.scored(docs, read(spark, sf_dir, "labels")).drop("text")
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)

@@ -198,14 +198,18 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)
 
 
-def classes(prints: DataFrame) -> DataFrame:
-    """(fp, component_id) per fingerprint, from rows (fp, id): the least id of all rows the fingerprint reaches."""
+def rooted(prints: DataFrame) -> DataFrame:
+    """(fp, id, root) per fingerprint, from rows (fp, id): its least id and the fingerprint that stands for its class."""
     first = prints.groupBy("fp").agg(F.min("id").alias("id"))
     member = components(links(first.select("fp")))
-    rooted = first.join(member, first["fp"] == member["node"], "left").select(
+    return first.join(member, first["fp"] == member["node"], "left").select(
         "fp", "id", F.coalesce("root", "fp").alias("root"))
-    least = rooted.groupBy("root").agg(F.min("id").alias("component_id"))
-    return rooted.join(least, "root").select("fp", "component_id")
+
+
+def classes(prints: DataFrame) -> DataFrame:
+    """(fp, component_id) per fingerprint, from rows (fp, id): the least id of all rows the fingerprint reaches."""
+    found = rooted(prints)
+    return found.join(found.groupBy("root").agg(F.min("id").alias("component_id")), "root").select("fp", "component_id")
 
 
 def near_duplicates(
@@ -224,3 +228,14 @@ def near_duplicates(
     found = classes(marked.select(F.col(fp).alias("fp"), F.col(f"{fp}_id").alias("id"))).withColumnRenamed("fp", fp)
     digits = F.lower(F.lpad(F.hex(F.col(fp)), 16, "0")).alias("fingerprint")
     return marked.join(found, fp).select(*kept, digits, "component_id")
+
+
+def one_of_each(df: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """One row, with its own columns, of each component: that of the least doc_id, nulls last; of equal ones any."""
+    fp = fresh("fp", df.columns)
+    marked = stored(df.withColumn(fp, fingerprint_of(text)))
+    found = rooted(marked.select(F.col(fp).alias("fp"), F.col(doc_id).alias("id")))
+    first = found.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("unknown"), "id", "fp")).alias("k"))
+    keep = first.select(F.col("k.fp").alias("keep_fp"), F.col("k.id").alias("keep_id"))
+    same = (F.col(fp) == F.col("keep_fp")) & F.col(doc_id).eqNullSafe(F.col("keep_id"))
+    return marked.join(keep, same, "left_semi").dropDuplicates([fp]).drop(fp)
