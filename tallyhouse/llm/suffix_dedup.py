@@ -24,10 +24,11 @@ from tallyhouse.llm.common import fresh, stored, text_or_empty, without
 
 LENGTH = 400
 GRAM = 32
-# Starts looked at together in a long text, bytes of a block, and different segments of an anchor before it is split.
+# Starts looked at together in a long text, bytes of a block, and different segments of an anchor (some 600 bytes each, at
+# most 768) before it is split.
 CHUNK = 1 << 20
 BLOCK_BYTES = 2 << 20
-SEGMENTS = 512
+SEGMENTS = 6000
 LEVELS = 4
 MULTIPLIERS = [np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5)]
 

@@ -65,7 +65,7 @@ def removed(spark, texts):
     return [(bytes(rows[i]["kept_bytes"]), rows[i]["n_spans"]) for i in range(len(texts))]
 
 
-@pytest.mark.parametrize("segments", [512, 3])
+@pytest.mark.parametrize("segments", [6000, 3])
 def test_against_all_strings(spark, monkeypatch, segments):
     monkeypatch.setattr(S, "SEGMENTS", segments)
     rng = random.Random(segments)
