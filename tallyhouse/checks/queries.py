@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 from functools import partial
@@ -55,9 +54,9 @@ def presented(df: DataFrame) -> DataFrame:
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder for written tables: in the cluster's shared folder, if it names one."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    return f"{shared.rstrip('/')}/tables-{uuid.uuid4().hex}" if shared else tempfile.mkdtemp(prefix="run-")
+    """A new folder that driver and executors share: under the checkpoint folder, else under the warehouse."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{shared.rstrip('/')}/tables-{uuid.uuid4().hex}"
 
 
 # --- sources and sinks ------------------------------------------------------------------------

@@ -22,6 +22,10 @@ class ChangeWindow:
     start: str
     end: str
 
+    def __post_init__(self):
+        if str(self.start) > str(self.end):
+            raise ValueError(f"the window starts at {self.start}, after its end at {self.end}")
+
     def holds(self, column: str | Column) -> Column:
         return (col(column) > moment(self.start)) & (col(column) <= moment(self.end))
 

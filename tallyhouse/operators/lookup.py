@@ -17,7 +17,9 @@ from tallyhouse.functions.cleaning import col
 def _one_by(pick, df: DataFrame, keys: Sequence[str], order: str | Column, where: Column | None) -> DataFrame:
     rows = df if where is None else df.filter(where)
     others = [c for c in df.columns if c not in keys]
-    best = rows.groupBy(*keys).agg(pick(F.struct(*others), col(order)).alias("_row"))
+    # Of equal ids the other columns decide, so the row does not depend on the run; a null id is never picked.
+    place = F.when(col(order).isNotNull(), F.struct(col(order), *[F.col(c) for c in others]))
+    best = rows.groupBy(*keys).agg(pick(F.struct(*others), place).alias("_row"))
     return best.select(*keys, "_row.*")
 
 

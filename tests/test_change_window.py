@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from tallyhouse.functions.change_window import ChangeWindow, changed, changed_keys, recent
@@ -33,3 +34,8 @@ def test_window_reaches_the_parquet_scan(spark, folder):
     stamps(spark, ("1998-01-15", None)).write.parquet(f"{folder}/t")
     plan = spark.read.parquet(f"{folder}/t").filter(changed(W, "a", "b"))._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [Or(And(GreaterThan(a" in plan
+
+
+def test_an_inverted_window_is_refused():
+    with pytest.raises(ValueError, match="after its end"):
+        ChangeWindow("2024-01-30 00:00:00", "2000-01-01 00:00:00")

@@ -1,3 +1,4 @@
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -38,3 +39,10 @@ def test_attributes(spark):
     assert rows(L.eav_indirect(df, "k", "model", "i%", "name", "value"), "k", "parameter_value") == [("1", "0.2")]
     codes = spark.createDataFrame([(1, "i2"), (2, "none")], "k int, code string")
     assert rows(L.eav_by_column(df, codes, "k", "code", "name", "value"), "k", "code", "parameter_value") == [("1", "i2", "0.3")]
+
+
+@pytest.mark.parametrize("pick, value", [(L.latest_by, "c"), (L.first_by, "a")])
+def test_equal_ids_are_decided_by_the_other_columns(spark, pick, value):
+    df = spark.createDataFrame([(1, 5, v) for v in "bca"] + [(1, None, "z"), (1, None, "A")], "k int, id int, v string")
+    for rows in (df, df.orderBy("v"), df.orderBy(F.desc("v"))):
+        assert [r.v for r in pick(rows.repartition(3), ["k"], "id").collect()] == [value]

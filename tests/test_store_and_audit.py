@@ -111,7 +111,7 @@ def test_a_job_writes_its_table_and_logs_every_step(house, tables):
     assert rows(house.read("etl_job_batches"), "batch_id", "is_success", "check_point_start") == [("1", "1", "2000-01-01 12:00:00")]
     assert rows(house.read("etl_jobs"), "job_id", "is_success", "check_point_end") == [("7", "1", NOW)]
     assert audit.run_job(house, "dim_customer", 2, 7, "2001-01-02 00:00:00", job) == [("merge", "Merge", 2)]
-    assert audit.next_window(house.read("etl_job_batches"), 7, NOW).start == "2001-01-02 00:00:00"
+    assert audit.next_window(house.read("etl_job_batches"), 7, "2001-01-03 00:00:00").start == "2001-01-02 00:00:00"
 
 
 def test_a_failure_is_logged_and_moves_nothing(house):
