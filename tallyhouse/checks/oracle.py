@@ -241,8 +241,8 @@ add("agg_collected_inactive_parity", collected(False, True), ["base_loan_id", *A
 add("agg_max_per_key", "SELECT base_loan_id, max(id) AS max_id FROM {loc_fee_structure} GROUP BY 1", "base_loan_id max_id")
 add("agg_min_global", f"SELECT min({ITEM}) AS min_id FROM ({GONE}) g", "min_id")
 WATERMARKS = "SELECT job_id, coalesce(max(check_point_end) FILTER (WHERE is_success = 1), TIMESTAMP '2000-01-01 12:00:00') AS watermark FROM {etl_job_batches} GROUP BY 1"
-for _key in ("agg_watermark", "audit_failure"):
-    add(_key, WATERMARKS, "job_id watermark")
+add("agg_watermark", WATERMARKS, "job_id watermark")
+add("audit_failure", f"SELECT w.*, CASE WHEN job_id = 2 THEN 0 END AS is_success, CASE WHEN job_id = 2 THEN 'source is not readable' END AS error_message, CASE WHEN job_id = 2 THEN 1 END AS logged FROM ({WATERMARKS}) w", "job_id watermark is_success error_message logged")
 add("agg_count_rows", f"SELECT count(*) AS row_count FROM {{dim_loan}} WHERE created_datetime > {A} AND created_datetime < {B}", "row_count")
 add("agg_null_counts", " UNION ALL ".join(f"SELECT '{c}' AS column_name, count(*) - count({c}) AS nulls FROM {{dim_loan}}" for c in DIM_LOAN), "column_name nulls")
 add("dedupe_latest", "SELECT lms_payment_schedule_item_id, max(update_datetime) AS update_datetime FROM {ach_transactions} GROUP BY 1", "update_datetime lms_payment_schedule_item_id")
@@ -300,7 +300,7 @@ for _key in ("dim_customer_merge", "job_dim_customer"):
 add("merge_insert_only_columns", _CUSTOMER_MERGE, "customer_id rent_amount nmi op", _SOURCE)
 add("merge_composite_key", _CUSTOMER_MERGE, "customer_id lms_code lastname process_timestamp", _SOURCE)
 add("agg_dml_row_count", f"SELECT op, count(*) AS row_count FROM ({_CUSTOMER_MERGE}) m GROUP BY 1", "op row_count", _SOURCE)
-add("audit_step_log", f"SELECT 'Merge' AS log_type, 'merge' AS log_label, 'Merge succeeded, row count = ' || count(*) AS log_message FROM ({_CUSTOMER_MERGE}) m WHERE op <> 'keep'", "log_type log_label log_message", _SOURCE)
+add("audit_step_log", f"SELECT 'Merge' AS log_type, 'merge dim_customer' AS log_label, 'Merge succeeded, row count = ' || count(*) AS log_message FROM ({_CUSTOMER_MERGE}) m WHERE op <> 'keep'", "log_type log_label log_message", _SOURCE)
 
 # --- loans -----------------------------------------------------------------------------------------
 

@@ -768,11 +768,10 @@ def _(t):
 
 @query("audit_step_log")
 def _(t):
-    result = customer.customer_job(t, t["dim_customer"], NOW)
-    counts = result.flagged.agg(*result.step_counts()).unpivot([], [s.name for s in result.steps], "log_label", "row_count")
-    return counts.select(
-        F.lit("Merge").alias("log_type"), "log_label",
-        F.concat(F.lit("Merge succeeded, row count = "), F.col("row_count").cast("string")).alias("log_message"))
+    """The log a load of the customer dimension leaves behind."""
+    house = audit.Warehouse(t.spark, scratch(t.spark))
+    audit.run_job(house, "dim_customer", 100000000, 1, NOW, lambda *_: customer.customer_job(t, t["dim_customer"], NOW))
+    return house.step_log().select("log_type", "log_label", "log_message")
 
 
 QUERIES["audit_batch_close"] = lambda t: audit.close_batch(t["etl_job_batches"], 42, NOW, True)
@@ -790,8 +789,8 @@ def _(t):
 def _(t):
     """A failed load: the error is logged, the batch closed and the watermark left alone."""
     house = audit.Warehouse(t.spark, scratch(t.spark))
-    house.write("etl_jobs", t["etl_jobs"], NOW)
-    house.write("etl_job_batches", t["etl_job_batches"], NOW)
+    house.record("etl_jobs", t["etl_jobs"])
+    house.record("etl_job_batches", t["etl_job_batches"])
 
     def fails(warehouse, window):
         raise RuntimeError("source is not readable")
@@ -800,7 +799,11 @@ def _(t):
         audit.run_job(house, "dim_loan", 100000000, JOB, NOW, fails)
     except RuntimeError:
         pass
-    return audit.watermarks(house.read("etl_job_batches"))
+    batches = house.batches()
+    logged = house.step_log().filter("log_message = 'Merge failed'").groupBy("batch_id", "error_message").agg(
+        F.count(F.lit(1)).alias("logged"))
+    failed = batches.join(logged, "batch_id").filter("end_datetime IS NOT NULL").select("job_id", "is_success", "error_message", "logged")
+    return audit.watermarks(batches).join(failed, "job_id", "left")
 
 
 # --- reconciliation and rules ----------------------------------------------------------------

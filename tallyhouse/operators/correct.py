@@ -7,11 +7,20 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 
+from tallyhouse.operators.lookup import dedupe_latest
 from tallyhouse.operators.modify import update_where
 
 Attach = Callable[[DataFrame], DataFrame]
 
 
+def attach_latest(extra: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()) -> Attach:
+    """A left join of the latest row per key, so that repeated rows of `extra` never multiply the table.
+
+    The pick is partitioned by the key as the join is, so it adds no shuffle.
+    """
+    return lambda target: target.join(dedupe_latest(extra, keys, order_by), list(keys), "left")
+
+
 @dataclass(frozen=True)
 class Update:
     """A conditional update of a table to which `needs` have been joined."""

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse import values as V
 from tallyhouse.functions.change_window import ChangeWindow, moment
+from tallyhouse.operators.lookup import latest_by
 from tallyhouse.operators.modify import update_where
 from tallyhouse.plans.job import JobResult
 from tallyhouse.sources import store
@@ -96,8 +98,18 @@ def _stamped(spark: SparkSession, rows: list[tuple], start: str, end: str) -> Da
     )
 
 
+def state_of(events: DataFrame, schema: str, key: str, end: str) -> DataFrame:
+    """The last event per key; a row without its end is older than one that has it."""
+    columns = [c.split()[0] for c in schema.split(", ")]
+    return latest_by(events, [key], F.struct(end)).select(*columns)
+
+
 class Warehouse:
-    """The tables of one warehouse folder and the control tables beside them."""
+    """The tables of one warehouse folder and the control tables beside them.
+
+    Control tables are logs: jobs only ever add event rows, so jobs that overlap never undo
+    each other's, and the state is the last event per batch or job.
+    """
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
@@ -109,56 +121,83 @@ class Warehouse:
     def read(self, table: str) -> DataFrame:
         return store.read_table(self.spark, self.path(table))
 
-    def write(self, table: str, df: DataFrame, now: str) -> None:
-        store.write_snapshot(df, self.path(table), now)
+    def version(self, table: str) -> int:
+        return store.current_version(self.spark, self.path(table))
+
+    def write(self, table: str, df: DataFrame, now: str, base: int | None = None) -> None:
+        store.write_snapshot(df, self.path(table), now, base=base)
+
+    def record(self, table: str, events: DataFrame) -> None:
+        store.append(events, self.path(table))
 
-    def control(self, table: str, schema: str) -> DataFrame:
-        if not store.current_version(self.spark, self.path(table)):
-            return self.spark.createDataFrame([], schema)
-        return self.read(table)
+    def _events(self, table: str, schema: str) -> DataFrame:
+        log = store.read_if_exists(self.spark, self.path(table), schema)
+        return self.spark.createDataFrame([], schema) if log is None else log
+
+    def batches(self) -> DataFrame:
+        return state_of(self._events("etl_job_batches", BATCHES), BATCHES, "batch_id", "end_datetime")
+
+    def jobs(self) -> DataFrame:
+        return state_of(self._events("etl_jobs", JOBS), JOBS, "job_id", "check_point_end")
 
     def step_log(self) -> DataFrame:
-        log = store.read_if_exists(self.spark, self.path("etl_step_log"), STEP_LOG)
-        return self.spark.createDataFrame([], STEP_LOG) if log is None else log
+        return self._events("etl_step_log", STEP_LOG)
+
+
+def clock_time() -> str:
+    return datetime.now(UTC).strftime("%Y-%m-%d %H:%M:%S.%f")
+
+
+def _counted(rows: DataFrame) -> tuple[DataFrame, Observation]:
+    watch = Observation()
+    return rows.observe(watch, F.count(F.lit(1)).alias("rows")), watch
 
 
 def run_job(
     warehouse: Warehouse, table: str, batch_id: int, job_id: int, now: str,
     job: Callable[[Warehouse, ChangeWindow], JobResult], appended: tuple[str, ...] = (), staged: tuple[str, ...] = (),
+    clock: Callable[[], str] = clock_time,
 ) -> list[tuple[str, str, int]]:
     """Load the next window of a job: open a batch, write the table, log every step, close.
 
-    Step counts are observed by the write itself. Side tables are written before the main
-    table is committed: those in `appended` grow, those in `staged` are replaced, others
-    get a new version. A failure is logged, closes the batch without moving the watermark,
-    and is raised again.
+    Step counts are observed by the write itself. Side tables are written and logged before
+    the main table is committed: those in `appended` grow, those in `staged` are replaced,
+    others get a new version. A failure is logged, closes the batch without moving the
+    watermark, and is raised again. The steps of the main table run in one plan and share its
+    start and end. `clock` stamps log rows and the batch's end; rows of data only hold `now`.
     """
     spark = warehouse.spark
-    batches = warehouse.control("etl_job_batches", BATCHES)
-    window = next_window(batches, job_id, now)
-    opened = batches.unionByName(open_batch(batches, batch_id, job_id, f"Populate {table}", window, now))
-    warehouse.write("etl_job_batches", opened, now)
-    error = None
+    window = next_window(warehouse.batches(), job_id, now)
+    opened = open_batch(spark.range(1), batch_id, job_id, f"Populate {table}", window, now)
+    warehouse.record("etl_job_batches", opened)
+    error, began = None, clock()
     try:
+        base = warehouse.version(table)
         result = job(warehouse, window)
         for name, rows in result.appends.items():
+            began = clock()
+            watched, watch = _counted(rows)
+            kind = "Update" if name not in appended and name not in staged else "Insert"
             if name in appended:
-                store.append(rows, warehouse.path(name))
+                store.append(watched, warehouse.path(name))
             elif name in staged:
-                store.truncate_load(rows, warehouse.path(name))
+                store.truncate_load(watched, warehouse.path(name))
             else:
-                warehouse.write(name, rows, now)
+                warehouse.write(name, watched, now)
+            written = step_rows(spark, batch_id, name, [("write", kind, watch.get["rows"])], began, clock())
+            warehouse.record("etl_step_log", written)
+        began = clock()
         observation = Observation(table)
         watched = JobResult(result.flagged.observe(observation, *result.step_counts()), result.columns, result.steps)
-        warehouse.write(table, watched.table, now)
+        warehouse.write(table, watched.table, now, base)
         counts = [(step.name, step.kind, observation.get[step.name]) for step in result.steps]
-        store.append(step_rows(spark, batch_id, table, counts, now, now), warehouse.path("etl_step_log"))
+        warehouse.record("etl_step_log", step_rows(spark, batch_id, table, counts, began, clock()))
         return counts
     except Exception as raised:
         error = raised
-        store.append(failure_row(spark, batch_id, table, str(raised), now, now), warehouse.path("etl_step_log"))
+        warehouse.record("etl_step_log", failure_row(spark, batch_id, table, str(raised), began, clock()))
         raise
     finally:
-        warehouse.write("etl_job_batches", close_batch(warehouse.read("etl_job_batches"), batch_id, now, error is None), now)
-        jobs = warehouse.control("etl_jobs", JOBS)
-        warehouse.write("etl_jobs", set_job_status(jobs, job_id, window, error is None), now)
+        warehouse.record("etl_job_batches", close_batch(opened, batch_id, clock(), error is None))
+        status = set_job_status(warehouse.jobs().filter(F.col("job_id") == job_id), job_id, window, error is None)
+        warehouse.record("etl_jobs", status.coalesce(1))

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from tallyhouse import values as V
 from tallyhouse.functions import cleaning as C
 from tallyhouse.functions.change_window import ChangeWindow, changed, moment
-from tallyhouse.operators.correct import Update, apply_updates
-from tallyhouse.operators.lookup import latest_by
+from tallyhouse.operators.correct import Update, apply_updates, attach_latest
+from tallyhouse.operators.lookup import dedupe_latest, latest_by
 from tallyhouse.operators.modify import delete_keys, diverges, merge_upsert
 from tallyhouse.operators.presence import mark_present, only_in_both, only_in_left
 from tallyhouse.plans.job import DELETED, merge_step, OP, JobResult, Step, Tables, update_steps
@@ -64,6 +64,13 @@ def collection_purge(landing: Tables, target: DataFrame, parity: bool = False) -
 
 # --- collected amounts -----------------------------------------------------------------
 
+def loans_by_activity(landing: Tables, active: bool) -> DataFrame:
+    """Ids of the loans whose latest row is active, or is not; each id once."""
+    rows = landing["lms_base_loans"].select("base_loan_id", "loan_status", "updated_datetime")
+    status = F.col("loan_status").isin(*V.ACTIVE_LOAN)
+    return dedupe_latest(rows, ["base_loan_id"], ["updated_datetime"]).filter(status if active else ~status).select("base_loan_id")
+
+
 def collected_amounts(landing: Tables, window: ChangeWindow, active: bool, parity: bool = False) -> DataFrame:
     """Sums of collected debit items of collection schedules, per loan.
 
@@ -84,8 +91,7 @@ def collected_amounts(landing: Tables, window: ChangeWindow, active: bool, parit
         *[F.sum(c).alias(c) for c in ITEM_AMOUNTS], F.max(F.coalesce(touched, F.lit(False))).alias("_touched")
     )
     schedules = landing["lms_payment_schedules"].filter("is_collections = 1").select("payment_schedule_id", "base_loan_id")
-    status = F.col("loan_status").isin(*V.ACTIVE_LOAN)
-    loans = landing["lms_base_loans"].filter(status if active else ~status).select("base_loan_id")
+    loans = loans_by_activity(landing, active)
     per_loan = (
         per_schedule.join(schedules, "payment_schedule_id")
         .join(loans, "base_loan_id")
@@ -117,10 +123,10 @@ def open_cures(landing: Tables) -> DataFrame:
         "base_loan_id", "lms_collection_cure_info_id", "rtc_notice", "default_time", "is_cured", "cure_date", "is_enabled"
     )
     newest = latest_by(cures, ["base_loan_id"], "lms_collection_cure_info_id", F.expr("is_cured = 0 AND is_enabled = 1"))
-    loans = landing["lms_base_loans"].filter(F.col("loan_status").isin(*V.ACTIVE_LOAN)).select("base_loan_id")
-    emails = landing["lms_deferred_outgoing_email"].select(
+    loans = loans_by_activity(landing, True)
+    emails = dedupe_latest(landing["lms_deferred_outgoing_email"].select(
         F.col("lms_deferred_outgoing_email_id").alias("rtc_notice"), "outgoing_date", "is_sent"
-    )
+    ), ["rtc_notice"], ["outgoing_date"])
     return newest.join(loans, "base_loan_id").join(emails, "rtc_notice").select(
         "base_loan_id",
         F.col("lms_collection_cure_info_id").alias("_cure_id"), F.col("rtc_notice").alias("_notice_id"),
@@ -137,7 +143,7 @@ def attach_status(landing: Tables):
     status = landing["collections"].select(
         "collection_id", F.col("status_code").alias("_status_code"), F.col("sub_status_code").alias("_sub_status_code")
     )
-    return lambda target: target.join(status, "collection_id", "left")
+    return attach_latest(status, ["collection_id"])
 
 
 # --- corrections ------------------------------------------------------------------------

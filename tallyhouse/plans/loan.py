@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tallyhouse import values as V
 from tallyhouse.functions import cleaning as C
 from tallyhouse.functions.change_window import ChangeWindow, changed, changed_keys, moment
-from tallyhouse.operators.correct import Attach, Update, apply_updates
+from tallyhouse.operators.correct import Attach, Update, apply_updates, attach_latest
 from tallyhouse.operators.lookup import dedupe_latest, eav_by_column, eav_indirect, first_by, latest_by, max_by_key
 from tallyhouse.operators.modify import append_rows, diverges, merge_upsert, update_where
 from tallyhouse.operators.presence import mark_present, only_in_both, only_in_left
@@ -184,26 +184,27 @@ def loan_attachments(landing: Tables, window: ChangeWindow, parity: bool) -> dic
             "loan_status", "loan_amount", "loan_type", "effective_date", "updated_datetime", "loan_interest_pct")],
     )
     header = landing["lms_loan_header"].select(
-        "loan_header_id", F.lit(True).alias("_in_header"), F.col("status").alias("_header_status")
+        "loan_header_id", F.lit(True).alias("_in_header"), F.col("status").alias("_header_status"),
+        F.col("last_update").alias("_header_updated"),
     )
     collection = newest_collection(landing).select(
         "base_loan_id", F.lit(True).alias("_in_collection"),
         *[F.col(c).alias(f"_col_{c}") for c in ("delinquency_date", "create_timestamp", "fully_defaulted_date")],
     )
-    # A loan may have several staged rates; the greatest is taken.
+    # A loan may have several staged rates; the greatest readable one is taken.
     staged = staged_interest(landing, window, parity).groupBy("base_loan_id").agg(
-        F.max(F.col("loan_interest_pct").cast("decimal(18,6)")).alias("_staged_rate")
+        F.max(F.col("loan_interest_pct").try_cast("decimal(18,6)")).alias("_staged_rate")
     )
     leads = landing["lead_source"].select(
         F.col("lead_source_id").alias("campaign_id"), F.col("description").alias("_lead_description")
     )
     return {
-        "base": partial(_join, base, "base_loan_id"),
+        "base": attach_latest(base, ["base_loan_id"], ["_base_updated_datetime"]),
         "collection": partial(_join, collection, "base_loan_id"),
         "staged": partial(_join, staged, "base_loan_id"),
-        "header": partial(_join, header, "loan_header_id"),
+        "header": attach_latest(header, ["loan_header_id"], ["_header_updated"]),
         "history": partial(_join, last_status_changes(landing), "loan_header_id"),
-        "leads": partial(_join, leads, "campaign_id"),
+        "leads": attach_latest(leads, ["campaign_id"]),
     }
 
 
@@ -296,7 +297,7 @@ def resolve_rejects(landing: Tables, reject_log: DataFrame, now: str, parity: bo
     def ids(table: str) -> DataFrame:
         return landing[table].select(F.col("loan_header_id").cast("string").alias("column_value"))
 
-    marked = mark_present(reject_log, ids("lms_loan_header"), ["column_value"], "_header", right_unique=True)
+    marked = mark_present(reject_log, ids("lms_loan_header"), ["column_value"], "_header")
     fixed = ~F.col("_header")
     if not parity:
         marked = mark_present(marked, ids("lms_base_loans"), ["column_value"], "_loan")

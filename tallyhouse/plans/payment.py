@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tallyhouse import values as V
 from tallyhouse.functions import cleaning as C
 from tallyhouse.functions.change_window import ChangeWindow, changed, moment, recent
-from tallyhouse.operators.correct import Attach, Update, apply_updates
+from tallyhouse.operators.correct import Attach, Update, apply_updates, attach_latest
 from tallyhouse.operators.lookup import eav
 from tallyhouse.operators.modify import merge_upsert
 from tallyhouse.operators.presence import only_in_left
@@ -86,10 +86,11 @@ def _join(extra: DataFrame, target: DataFrame) -> DataFrame:
 
 def payment_attachments(landing: Tables) -> dict[str, Attach]:
     items = landing["lms_payment_schedule_items"].select(
-        ITEM, F.col("auxiliary_type").alias("_item_auxiliary_type"), F.lit(True).alias("_in_landing")
+        ITEM, F.col("auxiliary_type").alias("_item_auxiliary_type"), F.lit(True).alias("_in_landing"),
+        F.col("updated_datetime").alias("_item_updated"),
     )
     return {
-        "items": partial(_join, items),
+        "items": attach_latest(items, [ITEM], ["_item_updated"]),
         "ach": partial(_join, ach_returns(landing)),
         "funding": partial(_join, funding_returns(landing)),
         "metadata": partial(_join, tracking_ids(landing)),

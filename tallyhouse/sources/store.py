@@ -1,14 +1,19 @@
 """Versioned parquet tables in a shared folder.
 
-A table is a folder of versions and a small commit log. A version is written whole and
-becomes current by a row in the log, so readers never see half a table, a failed write
-leaves the old version current, and a job may read the table it replaces.
+A table is a folder of versions and a small commit log. Each write goes to a folder of its
+own and becomes current by the file of its number in the log, which only one writer can
+create, so readers never see half a table, a failed write leaves the old version current,
+two writers never share a folder, and a job may read the table it replaces. Creating a file
+only where there is none is atomic on HDFS and local disks; on an object store the file
+system's connector has to give that, or one writer per table must be ensured by the caller.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +21,10 @@ from pyspark.sql import functions as F
 from tallyhouse.operators.modify import merge_upsert
 
 BUCKET = "_bucket"
-_COMMITS = "version long, committed_at timestamp_ntz"
+
+
+class StaleVersion(RuntimeError):
+    """Another writer has committed since the table was read."""
 
 
 def read_if_exists(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame | None:
@@ -30,40 +38,96 @@ def read_if_exists(spark: SparkSession, path: str, schema: str | None = None) ->
         raise
 
 
+def _files(spark: SparkSession, path: str):
+    """The file system of a path, and the path as it takes it."""
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+def _commits(spark: SparkSession, path: str) -> list[tuple[int, str]]:
+    """(number, name of the commit file) by number. A name is `number`, and the log holds one file per kept version."""
+    fs, log = _files(spark, f"{path}/commits")
+    if not fs.exists(log):
+        return []
+    return sorted((int(f.getPath().getName()), f.getPath().toString()) for f in fs.listStatus(log))
+
+
+def _folder_of(spark: SparkSession, commit: str) -> str | None:
+    """The folder a commit names (its second line is the time); None where the writer was lost before it named one."""
+    row = spark.read.text(commit).first()
+    return row[0] if row else None
+
+
 def current_version(spark: SparkSession, path: str) -> int:
-    """Number of the current version, 0 where there is none."""
-    commits = read_if_exists(spark, f"{path}/commits", _COMMITS)
-    if commits is None:
-        return 0
-    return commits.agg(F.max("version")).first()[0] or 0
+    """Number of the last commit, 0 where there is none."""
+    commits = _commits(spark, path)
+    return commits[-1][0] if commits else 0
 
 
-def version_path(path: str, version: int) -> str:
-    return f"{path}/version-{version:06d}"
+def current_folder(spark: SparkSession, path: str) -> str | None:
+    for _, commit in reversed(_commits(spark, path)):
+        if folder := _folder_of(spark, commit):
+            return f"{path}/{folder}"
+    return None
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    version = current_version(spark, path)
-    if not version:
+    folder = current_folder(spark, path)
+    if folder is None:
         raise FileNotFoundError(f"no committed version of {path}")
-    return spark.read.parquet(version_path(path, version))
+    return spark.read.parquet(folder)
 
 
-def write_snapshot(df: DataFrame, path: str, now: str, partition_by: Sequence[str] = ()) -> str:
-    """Write the next version of a table and make it current; returns its folder."""
+def write_snapshot(df: DataFrame, path: str, now: str, partition_by: Sequence[str] = (), base: int | None = None) -> str:
+    """Write the next version of a table and make it current; returns its folder.
+
+    `base` is the version `df` was computed from, the current one if it is not given. Where
+    another writer has committed since, the commit is refused and the table stays as that
+    writer left it.
+    """
     spark = df.sparkSession
-    version = current_version(spark, path) + 1
-    folder = version_path(path, version)
-    # An uncommitted folder can only be left over from a failed write.
-    writer = df.write.mode("overwrite")
+    base = current_version(spark, path) if base is None else base
+    name = f"version-{base + 1:06d}-{uuid.uuid4().hex}"
+    writer = df.write
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(folder)
-    commit = spark.range(1).select(
-        F.lit(version).cast("long").alias("version"), F.lit(now).cast("timestamp_ntz").alias("committed_at")
-    )
-    append(commit.coalesce(1), f"{path}/commits")
-    return folder
+    writer.parquet(f"{path}/{name}")
+    fs, commit = _files(spark, f"{path}/commits/{base + 1:06d}")
+    if current_version(spark, path) != base:
+        raise StaleVersion(f"{path} is no longer at version {base}")
+    try:
+        out = fs.create(commit, False)
+    except Py4JJavaError as error:
+        raise StaleVersion(f"{path} is no longer at version {base}") from error
+    out.write(bytearray(f"{name}\n{now}\n".encode()))
+    out.close()
+    return f"{path}/{name}"
+
+
+def retain(spark: SparkSession, path: str, versions: int) -> list[int]:
+    """Remove all but the last `versions` committed versions; returns the numbers of those removed.
+
+    Call it when no reader of an older version and no writer is at work. Folders that no
+    commit names, left over from failed writes, go too.
+    """
+    if versions < 1:
+        raise ValueError("a table keeps one version at least")
+    named = [(number, commit, _folder_of(spark, commit)) for number, commit in _commits(spark, path)]
+    kept = [number for number, _, folder in named if folder][-versions:]
+    if not kept:
+        return []
+    gone = [row for row in named if row[0] < kept[0]]
+    folders = {folder for number, _, folder in named if number >= kept[0]}
+    for _, commit, _ in gone:
+        fs, place = _files(spark, commit)
+        fs.delete(place, False)
+    fs, table = _files(spark, path)
+    for status in fs.listStatus(table):
+        name = status.getPath().getName()
+        if name.startswith("version-") and name not in folders:
+            fs.delete(status.getPath(), True)
+    return [number for number, _, folder in gone if folder]
 
 
 def append(df: DataFrame, path: str) -> None:

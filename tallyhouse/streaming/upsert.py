@@ -9,10 +9,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tallyhouse.operators.modify import merge_upsert
+from tallyhouse.operators.presence import only_in_both
 from tallyhouse.sources import store
 
 
@@ -20,14 +22,23 @@ def stream_landing(spark: SparkSession, folder: str, schema: T.StructType, max_f
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(folder)
 
 
+def not_late(batch: DataFrame, target: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
+    """The rows of a batch that are not older than the target's row of the same key."""
+    known = only_in_both(target.select(*keys, F.struct(*order_by).alias("_held")), batch, keys)
+    late = F.col("_held").isNotNull() & (F.struct(*order_by) < F.col("_held"))
+    return batch.join(known, list(keys), "left").filter(~late).select(*batch.columns)
+
+
 def upsert_stream(
     stream: DataFrame, table_path: str, checkpoint: str, keys: Sequence[str], order_by: Sequence[str], now: str,
     insert_only: Sequence[str] = (),
 ) -> StreamingQuery:
     """Merge each micro-batch into the table and stop when the files at hand are done.
 
-    A batch replayed after a failure merges the same rows again, which leaves the table as
-    it is, so the result is the same as with one delivery.
+    A row older, by `order_by`, than the one the table holds for its key is late and changes
+    nothing, also across batches; of equal ones the later delivery stays. A batch replayed
+    after a failure merges the same rows again, which leaves the table as it is, so the
+    result is the same as with one delivery.
     """
     def merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -35,7 +46,7 @@ def upsert_stream(
             target = store.read_table(spark, table_path)
         else:
             target = batch.limit(0)
-        merged = merge_upsert(target, batch, keys, insert_only, on_duplicate="latest", order_by=order_by, small_source=True)
+        merged = merge_upsert(target, not_late(batch, target, keys, order_by), keys, insert_only, on_duplicate="latest", order_by=order_by, small_source=True)
         store.write_snapshot(merged, table_path, now)
 
     return (

@@ -132,6 +132,25 @@ def test_rejects_are_logged_once_and_fixed_when_the_loan_arrives(tables):
         ("1", None, None), ("4", None, None), ("8", "1", "1998-02-01"), ("9", None, None), ("9", "1", "1998-02-01")]
 
 
+@pytest.mark.parametrize("doubled", ["lms_base_loans", "lms_loan_header", "lead_source"])
+def test_repeated_landing_rows_never_multiply_loans(tables, doubled):
+    t = loans(tables, loan_status="Originated")
+    t.add("lead_source", {"lead_source_id": 3, "description": "radio"})
+    t.add("dim_loan", {"base_loan_id": 1, "loan_header_id": 11, "campaign_id": 3, "process_timestamp": NEW})
+    before = corrected(t)
+    t.given[doubled] = t[doubled].unionAll(t[doubled])
+    assert rows(before, *before.columns) == rows(corrected(t), *before.columns) and before.count() == 1
+
+
+def test_the_latest_of_several_landing_rows_counts(tables):
+    t = loans(tables, loan_status="Originated", updated_datetime=NEW, loan_amount=5)
+    late = t["lms_base_loans"]
+    early = loans(tables, loan_status="Originated", updated_datetime=OLD, loan_amount=4)["lms_base_loans"]
+    t.given["lms_base_loans"] = late.unionAll(early)
+    t.add("dim_loan", {"base_loan_id": 1, "loan_header_id": 11, "loan_amount": 1, "process_timestamp": NEW})
+    assert rows(corrected(t), "loan_amount") == [("5.00",)]
+
+
 # --- payments ------------------------------------------------------------------------------
 
 CASCADE = [  # id, status, mode, set before, ach, funding, date expected
@@ -191,6 +210,14 @@ def test_payment_slices_and_item_window(tables):
     assert rows(merged, ITEM, "item_type", "is_active", "theoretical_sep_amt", "customer_id")[0] == ("i0", "C", "0", "3.00", "99")
 
 
+def test_repeated_items_never_multiply_the_schedule(tables):
+    t = cascade(tables)
+    item = {ITEM: "ach", "auxiliary_type": "x", "updated_datetime": NEW}
+    t.add("lms_payment_schedule_items", item, item, {**item, "auxiliary_type": "y", "updated_datetime": OLD})
+    done, _ = payment.correct_payments(t, t["dim_payment_schedule"], W)
+    assert done.count() == len(CASCADE) + 1
+
+
 # --- collections -----------------------------------------------------------------------------
 
 def pairs(tables):
@@ -242,6 +269,17 @@ def test_inactive_amounts_are_whole_but_for_parity(tables):
     assert rows(part, "collected_total_amount") == [("10.00",)]
 
 
+@pytest.mark.parametrize("doubled", ["lms_base_loans", "collections", "lms_deferred_outgoing_email"])
+def test_repeated_landing_rows_never_multiply_collections(tables, doubled):
+    t = amounts(tables, "Originated").add("collections", {"collection_id": 7, "status_code": "OPEN"})
+    t.add("lms_collection_cure_info", {"base_loan_id": 1, "is_enabled": 1, "is_cured": 0, "lms_collection_cure_info_id": 1, "rtc_notice": 100})
+    t.add("lms_deferred_outgoing_email", {"lms_deferred_outgoing_email_id": 100, "is_sent": 1})
+    before, _ = collection.correct_collections(t, t["fct_collection_detail"], W, NOW)
+    t.given[doubled] = t[doubled].unionAll(t[doubled])
+    after, _ = collection.correct_collections(t, t["fct_collection_detail"], W, NOW)
+    assert rows(before, *before.columns) == rows(after, *before.columns) and before.count() == 1
+
+
 def test_active_rows_stamped_with_the_start_still_get_their_outstanding(tables):
     t = amounts(tables, "DEFAULT")
     done, _ = collection.correct_collections(t, t["fct_collection_detail"], W, NOW)

@@ -6,7 +6,7 @@ from tallyhouse.functions.change_window import ChangeWindow
 from tallyhouse.plans import audit, customer
 from tallyhouse.plans.job import JobResult, Step
 from tallyhouse.sources import reports, scan, store
-from tallyhouse.streaming.upsert import stream_landing, upsert_stream
+from tallyhouse.streaming.upsert import not_late, stream_landing, upsert_stream
 
 NOW = "2001-01-01 00:00:00"
 
@@ -97,7 +97,7 @@ def house(spark, folder, tables):
     tables.add("dim_customer", {"customer_id": 2, "lms_code": "JAG"}, {"customer_id": 3, "lms_code": "JAG"})
     warehouse = audit.Warehouse(spark, folder)
     warehouse.write("dim_customer", tables["dim_customer"], NOW)
-    warehouse.write("etl_jobs", spark.createDataFrame([(7, "dim_customer", None, None, None)], audit.JOBS), NOW)
+    warehouse.record("etl_jobs", spark.createDataFrame([(7, "dim_customer", None, None, None)], audit.JOBS))
     return warehouse
 
 
@@ -108,10 +108,10 @@ def test_a_job_writes_its_table_and_logs_every_step(house, tables):
     assert audit.run_job(house, "dim_customer", 1, 7, NOW, job) == [("merge", "Merge", 2)]
     assert rows(house.read("dim_customer"), "customer_id") == [("1",), ("2",), ("3",)]
     assert rows(house.step_log(), "batch_id", "log_type", "log_message") == [("1", "Merge", "Merge succeeded, row count = 2")]
-    assert rows(house.read("etl_job_batches"), "batch_id", "is_success", "check_point_start") == [("1", "1", "2000-01-01 12:00:00")]
-    assert rows(house.read("etl_jobs"), "job_id", "is_success", "check_point_end") == [("7", "1", NOW)]
+    assert rows(house.batches(), "batch_id", "is_success", "check_point_start") == [("1", "1", "2000-01-01 12:00:00")]
+    assert rows(house.jobs(), "job_id", "is_success", "check_point_end") == [("7", "1", NOW)]
     assert audit.run_job(house, "dim_customer", 2, 7, "2001-01-02 00:00:00", job) == [("merge", "Merge", 2)]
-    assert audit.next_window(house.read("etl_job_batches"), 7, "2001-01-03 00:00:00").start == "2001-01-02 00:00:00"
+    assert audit.next_window(house.batches(), 7, "2001-01-03 00:00:00").start == "2001-01-02 00:00:00"
 
 
 def test_a_failure_is_logged_and_moves_nothing(house):
@@ -122,9 +122,38 @@ def test_a_failure_is_logged_and_moves_nothing(house):
         audit.run_job(house, "dim_customer", 1, 7, NOW, job)
     log = house.step_log().first()
     assert log["log_message"] == "Merge failed" and len(log["error_message"]) == 500
-    assert rows(house.read("etl_job_batches"), "is_success") == [("0",)]
+    assert rows(house.batches(), "is_success") == [("0",)]
     assert rows(house.read("dim_customer"), "customer_id") == [("2",), ("3",)]
-    assert audit.next_window(house.read("etl_job_batches"), 7, NOW).start == "2000-01-01 12:00:00"
+    assert audit.next_window(house.batches(), 7, NOW).start == "2000-01-01 12:00:00"
+
+
+def test_overlapping_jobs_keep_each_others_batches(house, tables):
+    def load(warehouse, window):
+        return customer.customer_job(tables, warehouse.read("dim_customer"), NOW)
+
+    def during(warehouse, window):
+        result = load(warehouse, window)
+        warehouse.write("other", warehouse.read("dim_customer"), NOW)
+        audit.run_job(warehouse, "other", 2, 8, NOW, lambda w, _: JobResult(w.read("other"), w.read("other").columns, (Step("all", "Update", F.lit(True)),)))
+        return result
+
+    audit.run_job(house, "dim_customer", 1, 7, NOW, during)
+    assert rows(house.batches(), "batch_id", "is_success") == [("1", "1"), ("2", "1")]
+    assert audit.next_window(house.batches(), 8, "2001-01-03 00:00:00").start == NOW
+
+
+def test_a_commit_from_a_stale_version_is_refused(spark, folder):
+    path = f"{folder}/t"
+    store.write_snapshot(numbers(spark, 1), path, NOW)
+    base = store.current_version(spark, path)
+    store.write_snapshot(numbers(spark, 2), path, NOW)
+    with pytest.raises(store.StaleVersion):
+        store.write_snapshot(numbers(spark, 3), path, NOW, base=base)
+    assert rows(store.read_table(spark, path), "k") == [("2",)]
+    store.write_snapshot(numbers(spark, 4), path, NOW)
+    assert store.retain(spark, path, 1) == [1, 2]
+    assert rows(store.read_table(spark, path), "k") == [("4",)] and store.current_version(spark, path) == 3
+    assert store.retain(spark, path, 1) == []
 
 
 def test_side_tables_grow_or_are_replaced(house, spark):
@@ -137,6 +166,17 @@ def test_side_tables_grow_or_are_replaced(house, spark):
     assert spark.read.parquet(house.path("archive")).count() == 2
     assert spark.read.parquet(house.path("stage")).count() == 1
     assert house.read("log").count() == 1
+    side = house.step_log().filter("log_label LIKE 'write %'")
+    assert rows(side.filter("batch_id = 2"), "log_label", "log_message") == [
+        ("write archive", "Insert succeeded, row count = 1"), ("write log", "Update succeeded, row count = 1"),
+        ("write stage", "Insert succeeded, row count = 1")]
+    assert side.filter("end_datetime <= start_datetime").count() == 0
+
+
+def test_a_late_row_of_the_stream_changes_nothing(spark):
+    target = spark.createDataFrame([(1, 5, "new")], "k long, t int, v string")
+    batch = spark.createDataFrame([(1, 4, "late"), (1, 5, "again"), (2, 1, "first")], "k long, t int, v string")
+    assert rows(not_late(batch, target, ["k"], ["t"]), "k", "v") == [("1", "again"), ("2", "first")]
 
 
 def test_stream_of_landing_files_merges_like_batches(spark, folder):
