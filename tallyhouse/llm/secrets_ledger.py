@@ -82,9 +82,11 @@ def scan(versions: DataFrame, folder: str, text: str = "text", rule_version: str
     rows = without(versions, "blob", "secret_spans")
     blob = F.sha2(text_or_empty(text).cast("binary"), 256)
     held = rows.select(blob.alias("blob"), text_or_empty(text).alias("text"))
-    unseen = held.join(read_ledger(spark, folder, rule_version).select("blob"), "blob", "left_anti")
-    once = unseen.groupBy("blob").agg(F.first("text").alias("text"))
-    found = once.select("blob", F.lit(rule_version).alias("rule_version"), spans_of("text").alias("spans"))
+    once = held.groupBy("blob").agg(F.first("text").alias("text"))
+    known = read_ledger(spark, folder, rule_version).select("blob", F.lit(True).alias("known"))
+    # A left join stays above the aggregate, which drops copies in every task; an anti join would be moved below it.
+    unseen = once.join(known, "blob", "left").filter("known IS NULL")
+    found = unseen.select("blob", F.lit(rule_version).alias("rule_version"), spans_of("text").alias("spans"))
     found.write.mode("append").parquet(folder)
     key = fresh("key", rows.columns)
     ledger = read_ledger(spark, folder, rule_version).select(F.col("blob").alias(key), F.col("spans").alias("secret_spans"))
