@@ -89,5 +89,7 @@ def scan(versions: DataFrame, folder: str, text: str = "text", rule_version: str
     found = unseen.select("blob", F.lit(rule_version).alias("rule_version"), spans_of("text").alias("spans"))
     found.write.mode("append").parquet(folder)
     key = fresh("key", rows.columns)
-    ledger = read_ledger(spark, folder, rule_version).select(F.col("blob").alias(key), F.col("spans").alias("secret_spans"))
-    return rows.withColumn("blob", blob).join(ledger, F.col("blob") == F.col(key)).drop(key)
+    # Joined by the raw digest: it is half as long, and since no side is partitioned by it yet both are shuffled for this
+    # join alone, so adaptive execution can split a blob that holds many rows.
+    ledger = read_ledger(spark, folder, rule_version).select(F.unhex("blob").alias(key), F.col("spans").alias("secret_spans"))
+    return rows.withColumn("blob", blob).join(ledger, F.unhex("blob") == F.col(key)).drop(key)
