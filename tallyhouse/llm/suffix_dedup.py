@@ -248,11 +248,13 @@ def recurring(df: DataFrame, text: str, digest: str, length: int = LENGTH) -> Da
     kinds = "digest binary, anchors array<long>, firsts array<long>, counts array<long>"
     looked = stored(texts.filter(F.octet_length("data") >= length).mapInArrow(anchors, kinds))
     often = looked.select(F.explode("anchors").alias("anchor")).groupBy("anchor").agg(F.count(F.lit(1)).alias("n"))
+    # Written, so that the join below shuffles both sides itself and adaptive execution can split a common line's anchor.
+    often = stored(often.filter("n > 1").select("anchor"))
     # Copies of a text count once from here on.
     one = looked.groupBy("digest").agg(F.count(F.lit(1)).alias("copies"), F.first(F.struct("anchors", "firsts", "counts")).alias("r"))
     each = one.select("digest", "copies", F.explode(F.arrays_zip("r.anchors", "r.firsts", "r.counts")).alias("r"))
     each = each.select("digest", "copies", F.col("r.anchors").alias("anchor"), F.col("r.firsts").alias("first"), F.col("r.counts").alias("count"))
-    met = each.join(often.filter("n > 1").select("anchor"), "anchor")
+    met = each.join(often, "anchor")
     wanted = met.groupBy("digest").agg(F.max("copies").alias("copies"), F.collect_list(F.struct("anchor", "first", "count")).alias("runs"))
     once = texts.groupBy("digest").agg(F.first("data").alias("data"))
 
