@@ -82,16 +82,30 @@ def _(t):
     return scan.add_landing_columns(t["lms_loanheader_state"])
 
 
-# Landing tables that are compared, with their time column where they have one.
+# Landing tables that are compared, in order, with their time column where they have one.
 LANDING_MAP = {
-    "collection_lms_loan_map": "create_timestamp", "collections": None, "lms_payment_schedules": None,
-    "lms_base_loans": "created_datetime", "lms_customer_info_flat": "created_date",
-    "lms_payment_schedule_items": "created_datetime", "ach_transactions": "update_datetime",
-    "funding_payment_return": None, "lms_payment_schedule_item_metadata": None, "lms_collection_cure_info": None,
-    "lms_deferred_outgoing_email": None, "upm_organizations": None, "lms_loan_header": "created_date",
-    "lms_entities": None, "risk_level": None, "lms_loanheader_state": "action_time", "lead_source": None,
-    "loan_status_change_history": None, "insurance_policy": None, "insurance_provider": None,
-    "protection_plan": "created_datetime", "protection_plan_status": None,
+    "collection_lms_loan_map": "create_timestamp",
+    "collections": "created_timestamp",
+    "lms_payment_schedules": None,
+    "lms_base_loans": "created_datetime",
+    "lms_payment_schedule_items": "created_datetime",
+    "lms_collection_cure_info": "created_datetime",
+    "lms_deferred_outgoing_email": "created_datetime",
+    "lms_customer_info_flat": "created_date",
+    "ach_transactions": "created_datetime",
+    "funding_payment_return": "created_datetime",
+    "lms_payment_schedule_item_metadata": "created_datetime",
+    "upm_organizations": "created_datetime",
+    "lms_loan_header": "created_date",
+    "lms_entities": None,
+    "risk_level": "created_datetime",
+    "lms_loanheader_state": None,
+    "lead_source": "start_datetime",
+    "loan_status_change_history": None,
+    "protection_plan": "created_datetime",
+    "insurance_policy": "created_datetime",
+    "insurance_provider": "created_datetime",
+    "protection_plan_status": None,
     "protection_plan_status_log": "created_datetime",
 }
 # Warehouse tables that are compared.
@@ -469,7 +483,7 @@ def _(t):
 
 @query("dedupe_latest")
 def _(t):
-    return L.dedupe_latest(t["ach_transactions"], ["lms_payment_schedule_item_id"], ["update_datetime"])
+    return L.dedupe_latest(t["ach_transactions"].drop("created_datetime"), ["lms_payment_schedule_item_id"], ["update_datetime"])
 
 
 @query("topk_first_per_key")
@@ -834,7 +848,7 @@ QUERIES["rule_report"] = lambda t: rules.rule_lines(rules.all_rules(t["dim_payme
 QUERIES["prepare_flatten_json"] = lambda t: flatten_json(t["events"].select("event_id", "event_type", "props"), "props", "k long")
 QUERIES["normalize_standardize"] = lambda t: standardize(
     t["dim_customer"].select("customer_id", "grossmonthly", "email"), amounts=["grossmonthly"], emails=["email"])
-QUERIES["normalize_standardize_times"] = lambda t: standardize(t["funding_payment_return"], times=["return_time"])
+QUERIES["normalize_standardize_times"] = lambda t: standardize(t["funding_payment_return"].select(ITEM, "return_time"), times=["return_time"])
 QUERIES["normalize_unreadable_money"] = lambda t: unreadable_money(t["dim_customer"], "customer_id", "grossmonthly", "dim_customer")
 QUERIES["star_and_marts"] = lambda t: marts.payments_by_status(t["dim_payment_schedule"], t["dim_customer"])
 

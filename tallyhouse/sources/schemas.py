@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 # Landing column names, with the types this engine gives them.
 LANDING_DDL = {
     "ach_transactions": """
-        update_datetime timestamp_ntz, lms_payment_schedule_item_id string
+        update_datetime timestamp_ntz, lms_payment_schedule_item_id string, created_datetime timestamp_ntz
     """,
     "collection_lms_loan_map": """
         collection_id bigint, base_loan_id bigint, payment_schedule_id bigint, total_amount decimal(38,2),
@@ -24,18 +24,19 @@ LANDING_DDL = {
         customer_id bigint, status_code string, sub_status_code string, static_note_id bigint,
         escalation_level string, settlement_flag int, settlement_amount decimal(38,2),
         settlement_discounted_amount decimal(38,2), settlement_approval_timestamp timestamp_ntz,
-        request_to_rotate_flag int, created_by_user_id bigint, collection_id bigint
+        request_to_rotate_flag int, created_by_user_id bigint, collection_id bigint, created_timestamp
+        timestamp_ntz
     """,
     "funding_payment_return": """
-        return_time string, payment_schedule_item_id string
+        return_time string, payment_schedule_item_id string, created_datetime timestamp_ntz
     """,
     "insurance_policy": """
         policy_number string, product_code string, policy_document_url string, insurance_provider_id bigint,
-        id bigint
+        id bigint, created_datetime timestamp_ntz
     """,
     "insurance_provider": """
         name string, code string, enquiry_email string, enquiry_phone string, customer_dashboard_url string,
-        id bigint
+        id bigint, created_datetime timestamp_ntz
     """,
     "protection_plan": """
         id bigint, protection_plan_application_id bigint, current_loan_status string, loan_status_updated_date
@@ -52,7 +53,7 @@ LANDING_DDL = {
         bigint, created_datetime timestamp_ntz
     """,
     "lead_source": """
-        description string, lead_source_id bigint
+        description string, lead_source_id bigint, start_datetime timestamp_ntz
     """,
     "lms_base_loans": """
         base_loan_id bigint, loan_status string, customer_id bigint, loan_header_id bigint, origination_date
@@ -66,7 +67,7 @@ LANDING_DDL = {
     """,
     "lms_collection_cure_info": """
         lms_collection_cure_info_id bigint, rtc_notice bigint, default_time timestamp_ntz, is_cured int,
-        cure_date date, base_loan_id bigint, is_enabled int
+        cure_date date, base_loan_id bigint, is_enabled int, created_datetime timestamp_ntz
     """,
     "lms_customer_info_flat": """
         customer_id bigint, lastname string, firstname string, address string, address2 string, city string,
@@ -86,7 +87,7 @@ LANDING_DDL = {
         is_account_on_hold int, created_date timestamp_ntz, last_update timestamp_ntz
     """,
     "lms_deferred_outgoing_email": """
-        outgoing_date date, is_sent int, lms_deferred_outgoing_email_id bigint
+        outgoing_date date, is_sent int, lms_deferred_outgoing_email_id bigint, created_datetime timestamp_ntz
     """,
     "lms_entities": """
         entity_name string, organization_id bigint, lms_entity_id bigint
@@ -116,7 +117,7 @@ LANDING_DDL = {
         action_time timestamp_ntz, loan_header_id bigint, action string, id bigint
     """,
     "lms_payment_schedule_item_metadata": """
-        value string, payment_schedule_item_id string, name string
+        value string, payment_schedule_item_id string, name string, created_datetime timestamp_ntz
     """,
     "lms_payment_schedule_items": """
         total_amount decimal(38,2), amount_fee decimal(38,2), amount_prin decimal(38,2), amount_int
@@ -145,10 +146,11 @@ LANDING_DDL = {
         base_loan_id bigint, id bigint, daily_interest_code string
     """,
     "risk_level": """
-        risk_code string, description string, id bigint
+        risk_code string, description string, id bigint, created_datetime timestamp_ntz
     """,
     "upm_organizations": """
-        organization_name string, is_active int, email_domain string, organization_id bigint
+        organization_name string, is_active int, email_domain string, organization_id bigint, created_datetime
+        timestamp_ntz
     """,
 }
 
@@ -179,7 +181,7 @@ LOAN_HEADER_PASS = names("lms_loan_header", "status", "loan_header_id", "lms_ent
 ITEM_PASS = names("lms_payment_schedule_items", *CHANGE_COLUMNS)
 SCHEDULE_PASS = names("lms_payment_schedules", "payment_schedule_id")
 MAP_PASS = names("collection_lms_loan_map", *CHANGE_COLUMNS)
-COLLECTION_PASS = names("collections", "collection_id")
+COLLECTION_PASS = names("collections", "collection_id", "created_timestamp")
 PLAN_PASS = names("protection_plan", "id", *CHANGE_COLUMNS)
 
 AMOUNTS = ("total", "principal", "interest", "fees", "other")
