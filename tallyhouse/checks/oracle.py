@@ -554,11 +554,21 @@ _DIFF = "source_rows target_rows equal_rows differing_rows only_in_source only_i
 _CUSTOMER_DIFF = keyed("dim_customer", "dim_customer_copy", "customer_id")
 add("keyed_full_outer_diff", keyed("dim_insurance_protection_plan", "dim_insurance_protection_plan_copy", "protection_plan_id"), "protection_plan_id " + _DIFF)
 add("recon_keyed_diff", keyed("fct_collection_detail", "fct_collection_detail_copy", "collection_id"), "collection_id " + _DIFF)
-add("recon_keyed_diff_schedule",
-    "SELECT count(*) FILTER (WHERE differing_rows > 0) AS keys_differing, count(*) FILTER (WHERE source_rows = 0) AS keys_only_in_target, count(*) FILTER (WHERE target_rows = 0) AS keys_only_in_source, "
-    + ", ".join(f"CAST(sum({c}) AS BIGINT) AS {c}" for c in ("equal_rows", "differing_rows", "only_in_source", "only_in_target"))
-    + f" FROM ({keyed('dim_payment_schedule', 'dim_payment_schedule_copy', 'payment_schedule_id')}) d",
-    "keys_differing keys_only_in_target keys_only_in_source equal_rows differing_rows only_in_source only_in_target")
+_TOTALS = "keys_differing keys_only_in_target keys_only_in_source equal_rows differing_rows only_in_source only_in_target"
+
+
+def diff_totals(label: str, name: str, key: str) -> str:
+    return (
+        f"SELECT {label}count(*) FILTER (WHERE differing_rows > 0) AS keys_differing, count(*) FILTER (WHERE source_rows = 0) AS keys_only_in_target, count(*) FILTER (WHERE target_rows = 0) AS keys_only_in_source, "
+        + ", ".join(f"CAST(sum({c}) AS BIGINT) AS {c}" for c in ("equal_rows", "differing_rows", "only_in_source", "only_in_target"))
+        + f" FROM ({keyed(name, f'{name}_copy', key)}) d"
+    )
+
+
+add("recon_keyed_diff_schedule", diff_totals("", "dim_payment_schedule", "payment_schedule_id"), _TOTALS)
+add("recon_pair_diffs", " UNION ALL ".join(
+    diff_totals(f"'old.{n}' AS source_table, 'dwh.{n}' AS target_table, ", n, key) for n, key in DIMENSION_MAP.items()),
+    "source_table target_table " + _TOTALS)
 add("sink_text_report",
     "SELECT 'customer_id=' || customer_id || ': ' || differing_rows || ' differing, ' || only_in_source || ' only in source, ' || only_in_target || ' only in target' AS line "
     f"FROM ({_CUSTOMER_DIFF}) d WHERE equal_rows <> source_rows OR equal_rows <> target_rows", "line")

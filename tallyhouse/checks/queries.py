@@ -108,11 +108,16 @@ LANDING_MAP = {
     "protection_plan_status": None,
     "protection_plan_status_log": "created_datetime",
 }
-# Warehouse tables that are compared.
-DIMENSION_MAP = (
-    "fct_collection_detail", "dim_payment_schedule", "dim_customer", "dim_payment_schedule_removed",
-    "dim_loan", "dim_insurance_protection_plan", "dim_insurance_protection_plan_status",
-)
+# Warehouse tables that are compared, with the key of their rows.
+DIMENSION_MAP = {
+    "fct_collection_detail": "collection_id",
+    "dim_payment_schedule": "payment_schedule_id",
+    "dim_customer": "customer_id",
+    "dim_payment_schedule_removed": "payment_schedule_id",
+    "dim_loan": "base_loan_id",
+    "dim_insurance_protection_plan": "protection_plan_id",
+    "dim_insurance_protection_plan_status": "base_loan_id",
+}
 
 
 def landing_pairs(t: DerivedTables) -> list[reconcile.TablePair]:
@@ -128,8 +133,8 @@ def landing_pairs(t: DerivedTables) -> list[reconcile.TablePair]:
 
 def dimension_pairs(t: DerivedTables) -> list[reconcile.TablePair]:
     return [
-        reconcile.TablePair(f"old.{n}", f"dwh.{n}", partial(t.__getitem__, n), partial(t.__getitem__, f"{n}_copy"))
-        for n in DIMENSION_MAP
+        reconcile.TablePair(f"old.{n}", f"dwh.{n}", partial(t.__getitem__, n), partial(t.__getitem__, f"{n}_copy"), keys=(key,))
+        for n, key in DIMENSION_MAP.items()
     ]
 
 
@@ -833,6 +838,7 @@ QUERIES["recon_keyed_diff_schedule"] = lambda t: reconcile.diff_totals(
     reconcile.keyed_diff(t["dim_payment_schedule"], t["dim_payment_schedule_copy"], ["payment_schedule_id"]))
 QUERIES["recon_column_mismatches"] = lambda t: reconcile.column_mismatches(t["dim_customer"], t["dim_customer_copy"], ["customer_id"])
 QUERIES["recon_summary"] = lambda t: reconcile.reconcile_all(dimension_pairs(t))
+QUERIES["recon_pair_diffs"] = lambda t: reconcile.reconcile_all(dimension_pairs(t), reconcile.pair_diff)
 QUERIES["recon_landing_summary"] = lambda t: reconcile.reconcile_all(landing_pairs(t), reconcile.landing_summary, START, END)
 QUERIES["recon_query_vs_table"] = QUERIES["config_query_vs_table"]
 QUERIES["rule_item_type"] = lambda t: reconcile.check_rules(t["dim_payment_schedule"], rules.payment_rules())

@@ -168,7 +168,7 @@ def diff_lines(diff: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 @dataclass(frozen=True)
 class TablePair:
-    """A source and a target to compare, with an optional time column for a window on each."""
+    """A source and a target to compare, with an optional time column for a window on each and the key of their rows."""
 
     source_name: str
     target_name: str
@@ -176,6 +176,7 @@ class TablePair:
     target: Callable[[], DataFrame]
     source_filter: str | None = None
     target_filter: str | None = None
+    keys: tuple[str, ...] = ()
 
 
 def _fingerprint(df: DataFrame, seed: int) -> Column:
@@ -236,6 +237,12 @@ def count_summary(pair: TablePair, source: DataFrame, target: DataFrame) -> Data
     return row_count(source, target).select(F.lit(pair.target_name).alias("target_table"), "source_count", "target_count", "count_match")
 
 
+def pair_diff(pair: TablePair, source: DataFrame, target: DataFrame) -> DataFrame:
+    """How many keys and rows of a pair are equal, differing or on one side only."""
+    totals = diff_totals(keyed_diff(source, target, pair.keys))
+    return totals.select(F.lit(pair.source_name).alias("source_table"), F.lit(pair.target_name).alias("target_table"), "*")
+
+
 def reconcile_all(
     pairs: Sequence[TablePair], summarize: Callable[[TablePair, DataFrame, DataFrame], DataFrame] = pair_summary,
     lo: str | None = None, hi: str | None = None,
