@@ -64,68 +64,82 @@ def windows(rows: DataFrame, *ids: str) -> DataFrame:
     return rows.select(*ids, F.posexplode_outer(each).alias("at", "window"))
 
 
-def values_at(slots: str, at: str) -> Column:
-    """(place in the window, value) of the filled slots of a window."""
-    each = F.transform(F.slice(slots, F.col(at) + 1, WIDTH), lambda s, k: F.struct(k.alias("k"), s.alias("value")))
-    return F.filter(each, lambda s: s["value"].isNotNull())
-
-
-def benchmark_windows(benchmark: DataFrame, item_id: str, text: str) -> DataFrame:
-    """(item_id, item_at, window, item_values, item_windows) of each distinct template; the least id stands for all."""
+def benchmark_items(benchmark: DataFrame, item_id: str, text: str) -> DataFrame:
+    """(item_id, template, variant, keys, slots): the hashes of an item's template and of the values in its slots."""
     items = benchmark.select(F.col(item_id).alias("item_id"), words_of(text_or_empty(text)).alias("words")).select(
         "item_id", F.transform("words", template_key).alias("keys"), F.transform("words", slot_value).alias("slots"))
-    first = items.groupBy("keys").agg(F.min(F.struct("item_id", "slots")).alias("least"))
-    each = windows(first.select("keys", "least.item_id", "least.slots"), "item_id", "keys", "slots")
-    usable = each.filter("window IS NOT NULL").withColumn("values", values_at("slots", "at")).filter(F.size("values") <= WIDTH - PLAIN_LEAST)
-    total = usable.groupBy("keys").agg(F.count(F.lit(1)).alias("item_windows"))
-    return stored(usable.join(total, "keys").select(
-        "item_id", F.xxhash64("keys").alias("template"), F.col("at").alias("item_at"), "window",
-        F.col("values").alias("item_values"), "item_windows"))
+    return stored(items.select(
+        "item_id", F.xxhash64("keys").alias("template"), F.xxhash64("slots").alias("variant"), "keys", "slots").distinct())
 
 
-def matches(df: DataFrame, benchmark: DataFrame, text: str = "text", doc_id: str = "doc_id",
-            item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+def benchmark_windows(items: DataFrame) -> DataFrame:
+    """(template, item_at, window, item_windows) of each distinct template; which places are slots, it fixes itself."""
+    first = items.groupBy("template").agg(F.min(F.struct("keys", "slots")).alias("first")).select("template", "first.*")
+    filled = lambda at: F.size(F.filter(F.slice("slots", at + 1, F.lit(WIDTH)), lambda s: s.isNotNull()))
+    usable = windows(first, "template", "slots").filter("window IS NOT NULL").filter(filled(F.col("at")) <= WIDTH - PLAIN_LEAST)
+    total = usable.groupBy("template").agg(F.count(F.lit(1)).alias("item_windows"))
+    return stored(usable.join(total, "template").select("template", F.col("at").alias("item_at"), "window", "item_windows"))
+
+
+def found(df: DataFrame, benchmark: DataFrame, text: str = "text", doc_id: str = "doc_id",
+          item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """(doc_id, text_hash, item_id, kind, n_windows, item_windows, coverage) per document and item found in it.
 
     kind is exact or re-parameterised; coverage is the share of the item's windows found along consistent alignments, at
     least COVERAGE. Null and empty texts, and those of fewer than WIDTH words, match nothing; so do items of fewer words
-    or with too few plain ones. Repeated documents and repeated items count once; of items with one template the least
-    id stands for all. Rows with a null id are compared too. Other columns of either table are not read.
+    or with too few plain ones. Repeated documents and repeated items count once; each item of one template is held
+    against the document by its own values. Rows with a null id are compared too. Other columns of either table are not read.
     """
-    items = benchmark_windows(benchmark, item_id, item_text)
-    if items.count() <= BROADCAST_ROWS:
-        items = F.broadcast(items)
+    return _found(df, benchmark, text, doc_id, item_id, item_text).drop("template")
+
+
+def _found(df, benchmark, text, doc_id, item_id, item_text):
+    items = benchmark_items(benchmark, item_id, item_text)
+    each = benchmark_windows(items)
+    small = each.count() <= BROADCAST_ROWS
+    sized = F.broadcast if small else lambda table: table
     own = F.xxhash64(text_or_empty(text)).alias("text_hash")
     split = words_of(text_or_empty(text)).alias("words")
     keys = df.select(F.col(doc_id).alias("doc_id"), own, split).select(
         "doc_id", "text_hash", F.transform("words", template_key).alias("keys"))
     # Most windows meet nothing, so slots are read in a second pass, over documents with a met window alone.
-    met = stored(windows(keys, "doc_id", "text_hash").join(items, "window").drop("window"))
+    met = stored(windows(keys, "doc_id", "text_hash").join(sized(each), "window").drop("window"))
     texts = df.select(own, split).join(met.select("text_hash").distinct(), "text_hash", "left_semi")
-    slots = texts.dropDuplicates(["text_hash"]).select("text_hash", F.transform("words", slot_value).alias("slots"))
-    met = met.join(slots, "text_hash").withColumn("values", values_at("slots", "at")).select(
-        F.struct("doc_id", "text_hash", "item_id", "template", "item_windows").alias("pair"), "item_at",
-        (F.col("at") - F.col("item_at")).alias("shift"),
-        F.explode_outer(F.arrays_zip(
-            F.col("item_values.value").alias("a"), F.col("values.value").alias("b"))).alias("slot"))
-    # Per alignment and value of the item: the values it stands against; then per alignment, whether each has one.
-    by_value = met.groupBy("pair", "shift", F.col("slot.a").alias("value")).agg(
-        F.min("slot.b").alias("least"), F.max("slot.b").alias("most"), F.collect_set("item_at").alias("found"))
-    aligned = by_value.groupBy("pair", "shift").agg(
-        F.bool_and(F.col("value").isNull() | (F.col("least") == F.col("most"))).alias("consistent"),
-        F.bool_and(F.col("value").isNull() | (F.col("least") == F.col("value")) & (F.col("most") == F.col("value"))).alias("equal"),
-        F.array_distinct(F.flatten(F.collect_list("found"))).alias("found"))
-    found = aligned.filter("consistent").groupBy("pair").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_list("found")))).cast("long").alias("n_windows"),
+    slots = texts.dropDuplicates(["text_hash"]).select("text_hash", F.transform("words", slot_value).alias("doc_slots"))
+    # An alignment of a template with a document is one row; then it meets each distinct vector of values of the template.
+    lines = met.groupBy("doc_id", "text_hash", "template", "item_windows", (F.col("at") - F.col("item_at")).alias("shift")).agg(
+        F.array_sort(F.collect_set("item_at")).alias("places"))
+    variants = items.select("template", "variant", "slots").dropDuplicates(["template", "variant"])
+    aligned = lines.join(slots, "text_hash").join(sized(variants), "template")
+    of_item = lambda at: F.slice("slots", at + 1, F.lit(WIDTH))
+    of_doc = lambda at: F.slice("doc_slots", at + F.col("shift") + 1, F.lit(WIDTH))
+    aligned = aligned.withColumn("verbatim", F.filter("places", lambda at: of_item(at) == of_doc(at)))
+    rest = F.col("places")
+    pairs = F.array_distinct(F.flatten(F.transform(rest, lambda at: F.filter(
+        F.zip_with(of_item(at), of_doc(at), lambda a, b: F.struct(a.alias("a"), b.alias("b"))), lambda p: p["a"].isNotNull()))))
+    aligned = aligned.withColumn("pairs", pairs)
+    consistent = F.size("pairs") == F.size(F.array_distinct(F.transform("pairs", lambda p: p["a"])))
+    aligned = aligned.filter(consistent).withColumn("equal", F.size("verbatim") == F.size("places"))
+    result = aligned.groupBy("doc_id", "text_hash", "template", "variant", "item_windows").agg(
+        F.size(F.array_distinct(F.flatten(F.collect_list("places")))).cast("long").alias("n_windows"),
         F.bool_or("equal").alias("equal"))
-    coverage = F.col("n_windows") / F.col("pair.item_windows")
-    return found.filter(coverage >= COVERAGE).select(
-        "pair.doc_id", "pair.text_hash", "pair.item_id",
-        F.when(F.col("equal"), "exact").otherwise("re-parameterised").alias("kind"),
-        "n_windows", "pair.item_windows", coverage.alias("coverage"))
+    coverage = F.col("n_windows") / F.col("item_windows")
+    result = result.filter(coverage >= COVERAGE)
+    ids = items.select("item_id", "template", "variant")
+    return result.join(sized(ids), ["template", "variant"]).select(
+        "doc_id", "text_hash", "item_id", F.when(F.col("equal"), "exact").otherwise("re-parameterised").alias("kind"),
+        "n_windows", "item_windows", coverage.alias("coverage"), "template")
+
+
+def matches(df: DataFrame, benchmark: DataFrame, text: str = "text", doc_id: str = "doc_id",
+            item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+    """The rows of `found`, but of items of one template that a document holds the least id stands for all."""
+    rows = _found(df, benchmark, text, doc_id, item_id, item_text)
+    least = F.min(F.struct("item_id", "kind", "n_windows", "item_windows", "coverage")).alias("least")
+    return rows.groupBy("doc_id", "text_hash", "template").agg(least).select("doc_id", "text_hash", "least.*")
 
 
 def clean(df: DataFrame, benchmark: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """The rows, with their own columns, in which no item was found."""
-    found = matches(df, benchmark, text, doc_id).select(F.col("text_hash").alias("found_hash")).distinct()
-    return df.join(found, F.xxhash64(text_or_empty(text)) == F.col("found_hash"), "left_anti")
+    leaked = found(df, benchmark, text, doc_id).select(F.col("text_hash").alias("found_hash")).distinct()
+    return df.join(leaked, F.xxhash64(text_or_empty(text)) == F.col("found_hash"), "left_anti")

@@ -73,7 +73,7 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = decontaminate.matches(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    found = decontaminate.found(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
     return found.drop("text_hash")
 
 

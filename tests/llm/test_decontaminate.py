@@ -101,3 +101,12 @@ def test_nulls_repeated_rows_long_texts_names_and_empty_tables(spark):
     assert D.clean(df, items.limit(0)).count() == 5
     plan = D.matches(df, items)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_an_item_is_found_by_its_own_values(spark):
+    apples = "In the morning the children carry {} apples and {} pears into the cold kitchen before they go out to play"
+    items = bench(spark, apples.format(3, 3), apples.format(3, 5), apples.format(3, 5))
+    df = docs(spark, apples.format(3, 5), apples.format(4, 4), "nothing here")
+    got = {(r.doc_id, r.item_id, r.kind) for r in D.found(df, items).collect()}
+    assert got == {(0, 1, "exact"), (0, 2, "exact")} | {(1, i, "re-parameterised") for i in range(3)}
+    assert [r.doc_id for r in D.clean(df, items).collect()] == [2]
