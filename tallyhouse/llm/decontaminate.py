@@ -3,7 +3,8 @@
 Words become lower case; numbers, names and units become typed placeholders. Windows of eight template words of
 documents and of benchmark items meet in a hash join. Along each alignment of an item with a document, a value that
 fills a slot of the item must always stand against one and the same value in the document: then the passage is the
-item, exact or with other parameters. DataFrame functions only.
+item, exact or with other parameters. Windows that equal the item's word for word count whatever the others hold.
+DataFrame functions only.
 """
 
 from __future__ import annotations
@@ -85,15 +86,17 @@ def found(df: DataFrame, benchmark: DataFrame, text: str = "text", doc_id: str =
           item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """(doc_id, text_hash, item_id, kind, n_windows, item_windows, coverage) per document and item found in it.
 
-    kind is exact or re-parameterised; coverage is the share of the item's windows found along consistent alignments, at
-    least COVERAGE. Null and empty texts, and those of fewer than WIDTH words, match nothing; so do items of fewer words
+    A window that equals the item's in its slots too is found; the others of its alignment are, if each value of the item
+    stands against one value throughout them. kind is exact if equal windows alone suffice, else re-parameterised;
+    coverage is the share of the item's windows found, at least COVERAGE. Null and empty texts, and those of fewer than WIDTH words, match nothing; so do items of fewer words
     or with too few plain ones. Repeated documents and repeated items count once; each item of one template is held
     against the document by its own values. Rows with a null id are compared too. Other columns of either table are not read.
     """
-    return _found(df, benchmark, text, doc_id, item_id, item_text).drop("template")
+    return _found(df, benchmark, text, doc_id, item_id, item_text, False).drop("template")
 
 
-def _found(df, benchmark, text, doc_id, item_id, item_text):
+def _found(df, benchmark, text, doc_id, item_id, item_text, whole):
+    """`whole`: an alignment counts only as a whole, none of its windows for itself."""
     items = benchmark_items(benchmark, item_id, item_text)
     each = benchmark_windows(items)
     small = each.count() <= BROADCAST_ROWS
@@ -114,27 +117,30 @@ def _found(df, benchmark, text, doc_id, item_id, item_text):
     of_item = lambda at: F.slice("slots", at + 1, F.lit(WIDTH))
     of_doc = lambda at: F.slice("doc_slots", at + F.col("shift") + 1, F.lit(WIDTH))
     aligned = aligned.withColumn("verbatim", F.filter("places", lambda at: of_item(at) == of_doc(at)))
-    rest = F.col("places")
+    rest = F.col("places") if whole else F.array_except("places", "verbatim")
     pairs = F.array_distinct(F.flatten(F.transform(rest, lambda at: F.filter(
         F.zip_with(of_item(at), of_doc(at), lambda a, b: F.struct(a.alias("a"), b.alias("b"))), lambda p: p["a"].isNotNull()))))
     aligned = aligned.withColumn("pairs", pairs)
     consistent = F.size("pairs") == F.size(F.array_distinct(F.transform("pairs", lambda p: p["a"])))
-    aligned = aligned.filter(consistent).withColumn("equal", F.size("verbatim") == F.size("places"))
+    alone = F.when(F.size("verbatim") == F.size("places"), F.col("verbatim")).otherwise(F.array().cast("array<int>")) if whole else F.col("verbatim")
+    aligned = aligned.withColumn("alone", alone).withColumn(
+        "places", F.when(consistent, F.col("places")).otherwise(F.col("alone")))
+    count = lambda c: F.size(F.array_distinct(F.flatten(F.collect_list(c)))).cast("long")
     result = aligned.groupBy("doc_id", "text_hash", "template", "variant", "item_windows").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_list("places")))).cast("long").alias("n_windows"),
-        F.bool_or("equal").alias("equal"))
+        count("places").alias("n_windows"), count("alone").alias("n_verbatim"))
     coverage = F.col("n_windows") / F.col("item_windows")
     result = result.filter(coverage >= COVERAGE)
     ids = items.select("item_id", "template", "variant")
     return result.join(sized(ids), ["template", "variant"]).select(
-        "doc_id", "text_hash", "item_id", F.when(F.col("equal"), "exact").otherwise("re-parameterised").alias("kind"),
+        "doc_id", "text_hash", "item_id", F.when(F.col("n_verbatim") / F.col("item_windows") >= COVERAGE, "exact").otherwise("re-parameterised").alias("kind"),
         "n_windows", "item_windows", coverage.alias("coverage"), "template")
 
 
 def matches(df: DataFrame, benchmark: DataFrame, text: str = "text", doc_id: str = "doc_id",
             item_id: str = "item_id", item_text: str = "text") -> DataFrame:
-    """The rows of `found`, but of items of one template that a document holds the least id stands for all."""
-    rows = _found(df, benchmark, text, doc_id, item_id, item_text)
+    """The rows of `found` for alignments that are consistent as a whole; of items of one template that a document holds
+    so the least id stands for all."""
+    rows = _found(df, benchmark, text, doc_id, item_id, item_text, True)
     least = F.min(F.struct("item_id", "kind", "n_windows", "item_windows", "coverage")).alias("least")
     return rows.groupBy("doc_id", "text_hash", "template").agg(least).select("doc_id", "text_hash", "least.*")
 
