@@ -18,6 +18,8 @@ WIDTH = 8
 # A window of placeholders and few words is common to many texts; it counts only with so many plain words.
 PLAIN_LEAST = 4
 COVERAGE = 0.3
+# So many windows in a row (13 words) are enough, however long the item is.
+RUN = 6
 # Rows of benchmark windows up to which they are broadcast (some 50 MB); more are joined by shuffle.
 BROADCAST_ROWS = 400_000
 
@@ -65,12 +67,22 @@ def windows(rows: DataFrame, *ids: str) -> DataFrame:
     return rows.select(*ids, F.posexplode_outer(each).alias("at", "window"))
 
 
+def has_run(places: Column) -> Column:
+    """Whether an ascending array of places holds RUN in a row."""
+    return F.exists(F.transform(places, lambda at, i: F.coalesce(F.get(places, i + RUN - 1) == at + RUN - 1, F.lit(False))), lambda v: v)
+
+
+def normal_text(words: Column, text: Column) -> Column:
+    """The words in lower case, or the text without outer blanks if there is none."""
+    return F.when(F.size(words) > 0, F.lower(F.array_join(F.transform(words, lambda w: F.ltrim(w, F.lit(START))), " "))).otherwise(F.trim(text))
+
+
 def benchmark_items(benchmark: DataFrame, item_id: str, text: str) -> DataFrame:
-    """(item_id, template, variant, keys, slots): the hashes of an item's template and of the values in its slots."""
-    items = benchmark.select(F.col(item_id).alias("item_id"), words_of(text_or_empty(text)).alias("words")).select(
-        "item_id", F.transform("words", template_key).alias("keys"), F.transform("words", slot_value).alias("slots"))
+    """(item_id, template, variant, keys, slots, normal): the hashes of an item's template and of the values in its slots."""
+    items = benchmark.select(F.col(item_id).alias("item_id"), text_or_empty(text).alias("text"), words_of(text_or_empty(text)).alias("words")).select(
+        "item_id", normal_text(F.col("words"), F.col("text")).alias("normal"), F.transform("words", template_key).alias("keys"), F.transform("words", slot_value).alias("slots"))
     return stored(items.select(
-        "item_id", F.xxhash64("keys").alias("template"), F.xxhash64("slots").alias("variant"), "keys", "slots").distinct())
+        "item_id", F.xxhash64("keys").alias("template"), F.xxhash64("slots").alias("variant"), "keys", "slots", "normal").distinct())
 
 
 def benchmark_windows(items: DataFrame) -> DataFrame:
@@ -88,8 +100,10 @@ def found(df: DataFrame, benchmark: DataFrame, text: str = "text", doc_id: str =
 
     A window that equals the item's in its slots too is found; the others of its alignment are, if each value of the item
     stands against one value throughout them. kind is exact if equal windows alone suffice, else re-parameterised;
-    coverage is the share of the item's windows found, at least COVERAGE. Null and empty texts, and those of fewer than WIDTH words, match nothing; so do items of fewer words
-    or with too few plain ones. Repeated documents and repeated items count once; each item of one template is held
+    coverage is the share of the item's windows found, at least COVERAGE unless RUN windows in a row are. An item without
+    a usable window (fewer than WIDTH words, or too few plain ones) is found in documents whose words are all the same,
+    or which are the same but for outer blanks if they have no word; it has 0 windows and coverage 1. Null and empty
+    texts match nothing. Repeated documents and repeated items count once; each item of one template is held
     against the document by its own values. Rows with a null id are compared too. Other columns of either table are not read.
     """
     return _found(df, benchmark, text, doc_id, item_id, item_text, False).drop("template")
@@ -127,13 +141,26 @@ def _found(df, benchmark, text, doc_id, item_id, item_text, whole):
         "places", F.when(consistent, F.col("places")).otherwise(F.col("alone")))
     count = lambda c: F.size(F.array_distinct(F.flatten(F.collect_list(c)))).cast("long")
     result = aligned.groupBy("doc_id", "text_hash", "template", "variant", "item_windows").agg(
-        count("places").alias("n_windows"), count("alone").alias("n_verbatim"))
+        count("places").alias("n_windows"), count("alone").alias("n_verbatim"),
+        F.bool_or(has_run(F.col("places"))).alias("run"), F.bool_or(has_run(F.col("alone"))).alias("run_verbatim"))
     coverage = F.col("n_windows") / F.col("item_windows")
-    result = result.filter(coverage >= COVERAGE)
+    result = result.filter((coverage >= COVERAGE) | F.col("run"))
     ids = items.select("item_id", "template", "variant")
-    return result.join(sized(ids), ["template", "variant"]).select(
-        "doc_id", "text_hash", "item_id", F.when(F.col("n_verbatim") / F.col("item_windows") >= COVERAGE, "exact").otherwise("re-parameterised").alias("kind"),
+    exact = (F.col("n_verbatim") / F.col("item_windows") >= COVERAGE) | F.col("run_verbatim")
+    result = result.join(sized(ids), ["template", "variant"]).select(
+        "doc_id", "text_hash", "item_id", F.when(exact, "exact").otherwise("re-parameterised").alias("kind"),
         "n_windows", "item_windows", coverage.alias("coverage"), "template")
+    short = items.join(each.select("template").distinct(), "template", "left_anti").filter("normal <> ''").select(
+        "item_id", "template", F.xxhash64("normal").alias("same"))
+    if short.isEmpty():
+        return result
+    normal = df.select(F.col(doc_id).alias("doc_id"), own, text_or_empty(text).alias("text"), split).select(
+        "doc_id", "text_hash", F.xxhash64(normal_text(F.col("words"), F.col("text"))).alias("same"))
+    # Rows of one document and text count once, as above.
+    equal = normal.join(sized(short), "same").select("doc_id", "text_hash", "item_id", "template").distinct()
+    return result.unionByName(equal.select(
+        "doc_id", "text_hash", "item_id", F.lit("exact").alias("kind"), F.lit(0).cast("long").alias("n_windows"),
+        F.lit(0).cast("long").alias("item_windows"), F.lit(1.0).alias("coverage"), "template"))
 
 
 def matches(df: DataFrame, benchmark: DataFrame, text: str = "text", doc_id: str = "doc_id",

@@ -119,3 +119,14 @@ def test_equal_windows_count_beside_altered_ones(spark):
     got = {(r.doc_id, r.kind) for r in D.found(df, bench(spark, ITEM)).collect()}
     assert got == {(0, "exact"), (2, "exact")}
     assert [r.doc_id for r in D.clean(df, bench(spark, ITEM)).collect()] == [1]
+
+
+def test_excerpts_of_long_items_and_items_without_a_window(spark):
+    long = " ".join(f"word{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(500))
+    excerpt = "so he said this " + " ".join(long.split()[200:250]) + " and went home"
+    few = "so he said this " + " ".join(long.split()[200:212]) + " and went home"
+    items = bench(spark, long, "Capital of France?", "17 23 42 99 17 23 42 99", "你好世界", "?!", "", None)
+    df = docs(spark, excerpt, few, "capital of  FRANCE", "17, 23, 42, 99, 17, 23, 42, 99", "你好世界。", " ?!", "", None, "capital")
+    got = {(r.doc_id, r.item_id, r.kind) for r in D.found(df, items).collect()}
+    assert got == {(0, 0, "exact"), (2, 1, "exact"), (3, 2, "exact"), (4, 3, "exact"), (5, 4, "exact")}
+    assert {r.doc_id for r in D.clean(df, items).collect()} == {1, 6, 7, 8}
