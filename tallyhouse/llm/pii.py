@@ -64,6 +64,25 @@ def iban_ok(text: str) -> bool:
     return 15 <= len(text.replace(" ", "")) <= 34 and mod97(text)
 
 
+# Characters of an account number by country.
+IBAN_LENGTHS = {code: int(n) for n, codes in (line.split(":") for line in """
+15:NO;16:BE;18:DK FI FO GL NL SD;19:MK SI;20:AT BA EE KZ LT LU MN XK;21:CH HR LI LV;22:BG BH CR DE GB GE IE ME RS VA;
+23:AE GI IL IQ OM SO TL;24:AD CZ ES MD PK RO SA SE SK TN VG;25:LY PT ST;26:IS TR;27:BI DJ FR GR IT MC MR SM;
+28:AL AZ BY CY DO GT HU LB NI PL SV;29:BR EG PS QA UA;30:JO KW MU;31:MT SC;32:LC;33:RU
+""".replace("\n", "").split(";")) for code in codes.split()}
+
+
+def iban_end(text: str) -> int:
+    """Where the account number that a match begins with ends, 0 if it holds none.
+
+    A word in capitals or a figure behind it looks like one more group, so the number may end at every blank: where its
+    country's length says if that passes the check, else at the last place that passes.
+    """
+    ends = [m.start() for m in re.finditer(" |$", text)]
+    of_country = [e for e in ends if len(text[:e].replace(" ", "")) == IBAN_LENGTHS.get(text[:2])]
+    return next((e for e in [*of_country, *reversed(ends)] if iban_ok(text[:e])), 0)
+
+
 def ssn_ok(text: str) -> bool:
     area, group, serial = text.split("-")
     return area not in ("000", "666") and area < "900" and group != "00" and serial != "0000"
@@ -107,6 +126,13 @@ DIGIT = re.compile(r"[0-9]")
 def matches(rule: Rule, text: str) -> Iterator[tuple[int, int]]:
     """Leftmost matches that do not overlap and pass the rule's check."""
     free = 0
+    if rule.kind == "iban":
+        while m := rule.pattern.search(text, free):
+            end = m.start() + iban_end(m[0])
+            if end > m.start():
+                yield m.start(), end
+            free = max(end, m.start() + 1)  # what lies behind the number, or within a match without one, may hold another
+        return
     for m in rule.pattern.finditer(text):
         start = m.start()
         if rule.kind == "email":
@@ -130,7 +156,8 @@ def context_score(rule: Rule, text: str, start: int, end: int) -> float:
 def find(text: str | None) -> list[dict]:
     """All spans of a text, by start, then kind; places are code points, the end exclusive.
 
-    Matches of a kind are leftmost and do not overlap; one that fails its check is dropped and not tried shorter.
+    Matches of a kind are leftmost and do not overlap; one that fails its check is dropped and not tried shorter, but for
+    account numbers (iban), which end where the check says.
     """
     out: list[tuple] = []
     if not text:

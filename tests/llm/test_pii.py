@@ -66,3 +66,14 @@ def test_redacted_keeps_columns_and_nulls(spark):
     assert out[3, "mine"] == "" and out[4, "mine"].endswith(" <EMAIL>")
     assert pii.with_spans(df.limit(0)).count() == 0 and pii.redacted(df).columns == df.columns
     assert [len(r.pii_spans) for r in pii.with_spans(docs(spark, None, "")).collect()] == [0, 0]
+
+
+def test_account_numbers_before_words_in_capitals_and_figures():
+    first, second = "DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32"
+    for text, want in (
+        (f"IBAN: {first} BIC COBADEFFXXX", [first]), ("to DE89370400440532013000 EUR 20", ["DE89370400440532013000"]),
+        (f"{first} {second} OK", [first, second]), (f"AB12 3456 7890 1234 {first}", [first]), (f"{first[:-1]}1 EUR 20", []),
+        (f"{second} today", [second]), ("NO93 8601 1117 947 KR 15", ["NO93 8601 1117 947"]),
+    ):
+        assert [text[s["start"] : s["end"]] for s in pii.find(text) if s["kind"] == "iban"] == want
+        assert pii.blotted(text, [s for s in pii.find(text) if s["kind"] == "iban"]).count("<IBAN>") == len(want)
