@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import stored, text_or_empty
+from tallyhouse.llm.common import fresh, stored, text_or_empty
 
 WIDTH = 8
 # A window of placeholders and few words is common to many texts; it counts only with so many plain words.
@@ -20,8 +20,10 @@ PLAIN_LEAST = 4
 COVERAGE = 0.3
 # So many windows in a row (13 words) are enough, however long the item is.
 RUN = 6
-# Rows of benchmark windows up to which they are broadcast (some 50 MB); more are joined by shuffle.
+# Rows of a table of the benchmark up to which it is broadcast (windows: some 50 MB); larger ones are joined by shuffle.
 BROADCAST_ROWS = 400_000
+# Words of slots, in all rows together, up to which the values of items are broadcast.
+BROADCAST_SLOTS = 4_000_000
 
 UNITS = (
     "mm", "cm", "m", "km", "inch", "inches", "feet", "foot", "mile", "miles", "mg", "g", "kg", "gram", "grams", "ton",
@@ -113,21 +115,25 @@ def _found(df, benchmark, text, doc_id, item_id, item_text, whole):
     """`whole`: an alignment counts only as a whole, none of its windows for itself."""
     items = benchmark_items(benchmark, item_id, item_text)
     each = benchmark_windows(items)
-    small = each.count() <= BROADCAST_ROWS
-    sized = F.broadcast if small else lambda table: table
+    # Each side is broadcast by its own count: windows of distinct templates, and rows and words of items.
+    n_items, n_slots = items.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("slots")), F.lit(0))).first()
+    hinted = lambda small: F.broadcast if small else lambda table: table
+    by_window = hinted(each.count() <= BROADCAST_ROWS)
+    by_item = hinted(n_items <= BROADCAST_ROWS)
+    by_slots = hinted(n_items <= BROADCAST_ROWS and n_slots <= BROADCAST_SLOTS)
     own = F.xxhash64(text_or_empty(text)).alias("text_hash")
     split = words_of(text_or_empty(text)).alias("words")
     keys = df.select(F.col(doc_id).alias("doc_id"), own, split).select(
         "doc_id", "text_hash", F.transform("words", template_key).alias("keys"))
     # Most windows meet nothing, so slots are read in a second pass, over documents with a met window alone.
-    met = stored(windows(keys, "doc_id", "text_hash").join(sized(each), "window").drop("window"))
+    met = stored(windows(keys, "doc_id", "text_hash").join(by_window(each), "window").drop("window"))
     texts = df.select(own, split).join(met.select("text_hash").distinct(), "text_hash", "left_semi")
     slots = texts.dropDuplicates(["text_hash"]).select("text_hash", F.transform("words", slot_value).alias("doc_slots"))
     # An alignment of a template with a document is one row; then it meets each distinct vector of values of the template.
     lines = met.groupBy("doc_id", "text_hash", "template", "item_windows", (F.col("at") - F.col("item_at")).alias("shift")).agg(
         F.array_sort(F.collect_set("item_at")).alias("places"))
     variants = items.select("template", "variant", "slots").dropDuplicates(["template", "variant"])
-    aligned = lines.join(slots, "text_hash").join(sized(variants), "template")
+    aligned = lines.join(slots, "text_hash").join(by_slots(variants), "template")
     of_item = lambda at: F.slice("slots", at + 1, F.lit(WIDTH))
     of_doc = lambda at: F.slice("doc_slots", at + F.col("shift") + 1, F.lit(WIDTH))
     aligned = aligned.withColumn("verbatim", F.filter("places", lambda at: of_item(at) == of_doc(at)))
@@ -147,7 +153,7 @@ def _found(df, benchmark, text, doc_id, item_id, item_text, whole):
     result = result.filter((coverage >= COVERAGE) | F.col("run"))
     ids = items.select("item_id", "template", "variant")
     exact = (F.col("n_verbatim") / F.col("item_windows") >= COVERAGE) | F.col("run_verbatim")
-    result = result.join(sized(ids), ["template", "variant"]).select(
+    result = result.join(by_item(ids), ["template", "variant"]).select(
         "doc_id", "text_hash", "item_id", F.when(exact, "exact").otherwise("re-parameterised").alias("kind"),
         "n_windows", "item_windows", coverage.alias("coverage"), "template")
     short = items.join(each.select("template").distinct(), "template", "left_anti").filter("normal <> ''").select(
@@ -157,7 +163,7 @@ def _found(df, benchmark, text, doc_id, item_id, item_text, whole):
     normal = df.select(F.col(doc_id).alias("doc_id"), own, text_or_empty(text).alias("text"), split).select(
         "doc_id", "text_hash", F.xxhash64(normal_text(F.col("words"), F.col("text"))).alias("same"))
     # Rows of one document and text count once, as above.
-    equal = normal.join(sized(short), "same").select("doc_id", "text_hash", "item_id", "template").distinct()
+    equal = normal.join(by_item(short), "same").select("doc_id", "text_hash", "item_id", "template").distinct()
     return result.unionByName(equal.select(
         "doc_id", "text_hash", "item_id", F.lit("exact").alias("kind"), F.lit(0).cast("long").alias("n_windows"),
         F.lit(0).cast("long").alias("item_windows"), F.lit(1.0).alias("coverage"), "template"))
@@ -173,6 +179,11 @@ def matches(df: DataFrame, benchmark: DataFrame, text: str = "text", doc_id: str
 
 
 def clean(df: DataFrame, benchmark: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """The rows, with their own columns, in which no item was found."""
-    leaked = found(df, benchmark, text, doc_id).select(F.col("text_hash").alias("found_hash")).distinct()
-    return df.join(leaked, F.xxhash64(text_or_empty(text)) == F.col("found_hash"), "left_anti")
+    """The rows, with their own columns, in which no item was found.
+
+    Rows with a null or empty text stay, and so do repeated rows. An empty table or benchmark changes nothing. Columns may
+    have any names.
+    """
+    name = fresh("found_hash", df.columns)
+    leaked = found(df, benchmark, text, doc_id).select(F.col("text_hash").alias(name)).distinct()
+    return df.join(leaked, F.xxhash64(text_or_empty(text)) == F.col(name), "left_anti")

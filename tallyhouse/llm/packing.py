@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyhouse.llm.common import stored
+from tallyhouse.llm.common import stored, without
 from tallyhouse.llm.tokens import encoder
 
 CAPACITY = 1024
@@ -40,15 +40,16 @@ def cuts(n: int, capacity: int) -> list[tuple[int, int]]:
 
 
 def pieces(df: DataFrame, doc_id: str = "doc_id", text: str = "text", tokenizer: str = TOKENIZER,
-           end_id: int = END_ID, capacity: int = CAPACITY) -> DataFrame:
+           end_id: int = END_ID, capacity: int = CAPACITY, special_as_text: bool = False) -> DataFrame:
     """(doc_id, piece, start, length, ids): the ids of each document and an end id, cut where longer than `capacity`.
 
-    ids are little-endian unsigned 32-bit numbers. A null or empty text is the end id alone.
+    ids are little-endian unsigned 32-bit numbers. A null or empty text is the end id alone. With `special_as_text`, the
+    literal of a special token in a text cannot forge its id.
     """
     end = np.array([end_id], "<u4").tobytes()
 
     def cut(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer).ids
+        encode = encoder(tokenizer, special_as_text).ids
         held: list[tuple] = []
         size = 0
         for batch in it:
@@ -101,17 +102,18 @@ class SumOfSquares:
 def pack(df: DataFrame, length: str = "length", capacity: int = CAPACITY, group_pieces: int = GROUP_PIECES) -> DataFrame:
     """The rows with `sequence_id` and `offset`: gapless from 0 in each sequence of at most `capacity`.
 
-    `length` must be from 1 to `capacity`; rows with a null length are refused by an error. Full rows are sequences of
-    their own and move nowhere; the others are dealt evenly to groups of about `group_pieces`, so no key is hot. Which
-    of several equal rows goes where is arbitrary. An empty table stays empty. The input should be a written table,
-    since it is read twice. Input columns named sequence_id or offset must not exist.
+    Rows with a length that is null, below 1 or over `capacity` are in no sequence: both columns are null. Full rows are
+    sequences of their own and move nowhere; the others are dealt evenly to groups of about `group_pieces`, so no key is
+    hot. Which of several equal rows goes where is arbitrary. An empty table stays empty. The input should be a written
+    table, since it is read twice. Input columns named sequence_id or offset are replaced.
     """
-    bad = F.col(length).isNull() | (F.col(length) < 1) | (F.col(length) > capacity)
-    checked = df.withColumn(length, F.when(bad, F.raise_error(F.lit(f"length not from 1 to {capacity}"))).otherwise(F.col(length)))
-    full = checked.filter(F.col(length) == capacity).withColumns({
+    df = without(df, "sequence_id", "offset")
+    size, none = F.col(length), F.lit(None).cast("long")
+    full = df.filter(size == capacity).withColumns({
         "sequence_id": -F.monotonically_increasing_id() - 1, "offset": F.lit(0).cast("long")})
-    rest = checked.filter(F.col(length) < capacity)
-    groups = max(1, round(df.filter(F.col(length) < capacity).count() / group_pieces))
+    unfit = df.filter(size.isNull() | (size < 1) | (size > capacity)).withColumns({"sequence_id": none, "offset": none})
+    rest = df.filter((size >= 1) & (size < capacity))
+    groups = max(1, round(rest.count() / group_pieces))
     schema = T.StructType([*df.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
 
     def fill(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -123,13 +125,14 @@ def pack(df: DataFrame, length: str = "length", capacity: int = CAPACITY, group_
                 names=[*batch.schema.names, "sequence_id", "offset"])
 
     packed = rest.repartition(groups).sortWithinPartitions(F.desc(length)).mapInArrow(fill, schema)
-    return packed.unionByName(full)
+    return packed.unionByName(full).unionByName(unfit)
 
 
-def packed(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def packed(df: DataFrame, doc_id: str = "doc_id", text: str = "text", special_as_text: bool = False) -> DataFrame:
     """(doc_id, piece, start, length, ids, sequence_id, offset) of all documents.
 
     Null and empty texts are one end id; repeated rows and null ids are packed like any other; other columns are not
-    read. Texts of any length are encoded whole.
+    read. Texts of any length are encoded whole. Places are found on rows of two numbers and joined back to the ids.
     """
-    return pack(stored(pieces(df, doc_id, text)))
+    made = stored(pieces(df, doc_id, text, special_as_text=special_as_text).withColumn("row", F.monotonically_increasing_id()))
+    return made.join(pack(made.select("row", "length")).drop("length"), "row").drop("row")

@@ -1,8 +1,10 @@
 """Token ids in a file format compressed by Re-Pair.
 
-A block holds the ids of some documents in a row. Frequent pairs of neighbouring symbols are replaced by nonterminals,
-round after round; a round replaces many pairs at once, chosen so that none overlaps another. A block stores its rules, how many ids each nonterminal stands for,
-and where each document begins, so that one document is decoded without the others.
+A block holds the ids of some documents in a row. Pairs of neighbouring symbols are replaced by nonterminals, the most
+frequent first, until no pair occurs LEAST_COUNT times or the 16-bit symbols run out. A round replaces all pairs that occur
+so often, and the next round those that occur a quarter as often; where two of them overlap, the more frequent one is replaced,
+and of a run of one symbol every second pair. A block stores its rules, how many ids each nonterminal stands for, and where each document
+begins, so that one document is decoded without the others.
 
 A block, little-endian: magic "RPR1"; u32 vocabulary, rules, symbols, documents; u64 ids; then per rule u16 left,
 u16 right, u32 expansion length; per document i64 id, u8 whether it is null, u32 first symbol, u64 first id;
@@ -27,11 +29,14 @@ from tallyhouse.llm.tokens import encoder
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
 VOCABULARY = 49_408
-# Ids after which a block ends (with its document), and what a round replaces.
+# Ids after which a block ends (with its document), and how often a pair must occur to be replaced.
 BLOCK_IDS = 1 << 20
-ROUNDS = 4
-ROUND_PAIRS = 3_000
 LEAST_COUNT = 8
+# How much rarer the pairs of the next round may be.
+STEP = 4
+# Cells of the table of chosen pairs by left and right symbol, up to which it is used; beyond, pairs are searched.
+TABLE = 1 << 22
+SHARD_BYTES = 256 << 20
 MAGIC = b"RPR1"
 HEAD = struct.Struct("<4s4IQ")
 
@@ -41,47 +46,93 @@ BLOCK_ARROW = pa.schema([
 ])
 
 
-def frequent_pairs(keys: np.ndarray, most: int) -> np.ndarray:
-    """Pairs (left << 16 | right) that occur LEAST_COUNT times or more, most frequent first; no symbol on both sides."""
+def odd_places(symbols: np.ndarray) -> np.ndarray:
+    """The places that begin no pair to be counted: in a run of one symbol, every second one."""
+    equal = np.flatnonzero(symbols[:-1] == symbols[1:])
+    place = np.arange(len(equal))
+    first = np.ones(len(equal), bool)
+    first[1:] = equal[1:] != equal[:-1] + 1
+    begin = np.maximum.accumulate(np.where(first, place, 0))
+    return equal[(place - begin) % 2 == 1]
+
+
+def frequent_pairs(keys: np.ndarray, least: int, most: int) -> tuple[np.ndarray, int]:
+    """At most `most` pairs (left << 16 | right) that occur `least` times, most frequent first; and the greatest count.
+
+    Without such a pair, pairs a STEP-th as frequent as the most frequent one count."""
     ordered = np.sort(keys)
-    at = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-    count = np.diff(np.append(at, len(ordered)))
-    often = np.flatnonzero(count >= LEAST_COUNT)
-    often = often[np.argsort(-count[often], kind="stable")][: 2 * most]
-    chosen, side = [], {}
-    for key in ordered[at[often]].tolist():
-        left, right = key >> 16, key & 0xFFFF
-        if left != right and side.get(left, 0) == 0 and side.get(right, 1) == 1:
-            side[left], side[right] = 0, 1
-            chosen.append(key)
-            if len(chosen) == most:
-                break
-    return np.array(chosen, np.uint32)
+    edge = np.ones(len(ordered) + 1, bool)
+    np.not_equal(ordered[1:], ordered[:-1], out=edge[1:-1])
+    at = np.flatnonzero(edge)
+    count = np.diff(at)
+    top = int(count.max(initial=0))
+    often = np.flatnonzero(count >= max(LEAST_COUNT, min(least, -(-top // STEP))))
+    often = often[np.argsort(-count[often], kind="stable")][:most]
+    return ordered[at[often]], top
+
+
+def places_of(chosen: np.ndarray, symbols: np.ndarray, usable: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(places, which of the chosen pairs stands there), ascending."""
+    left, right = np.unique(chosen >> 16), np.unique(chosen & 0xFFFF)
+    is_left, is_right = np.zeros(65_536, bool), np.zeros(65_536, bool)
+    is_left[left], is_right[right] = True, True
+    at = np.flatnonzero(usable & is_left[symbols[:-1]] & is_right[symbols[1:]])
+    if len(left) * len(right) <= TABLE:
+        row, column = np.zeros(65_536, np.int32), np.zeros(65_536, np.int32)
+        row[left], column[right] = np.arange(len(left)) * len(right), np.arange(len(right))
+        table = np.full(len(left) * len(right), -1, np.int32)
+        table[row[chosen >> 16] + column[chosen & 0xFFFF]] = np.arange(len(chosen))
+        which = table[row[symbols[at]] + column[symbols[at + 1]]]
+        return at[which >= 0], which[which >= 0]
+    order = np.argsort(chosen)
+    keys = symbols[at].astype(np.uint32) << 16 | symbols[at + 1]
+    found = np.searchsorted(chosen[order], keys).clip(max=len(chosen) - 1)
+    same = chosen[order][found] == keys
+    return at[same], order[found[same]]
+
+
+def without_overlap(at: np.ndarray, which: np.ndarray) -> np.ndarray:
+    """Which of the ascending places stay: none next to another, and a better (lesser) pair before its neighbours.
+
+    Places that two better ones leave free in turn are tried thrice; what is still open then waits for the next round.
+    """
+    kept, left = np.zeros(len(at), bool), np.arange(len(at))
+    for _ in range(3):
+        if not len(left):
+            break
+        a, w = at[left], which[left]
+        touch = np.concatenate([a[1:] == a[:-1] + 1, [False]])
+        before = np.concatenate([[False], touch[:-1]])
+        best = (~touch | (w < np.append(w[1:], 0))) & (~before | (w < np.append(0, w[:-1])))
+        kept[left[best]] = True
+        beside = np.concatenate([best[1:], [False]]) & touch | np.concatenate([[False], best[:-1]]) & before
+        left = left[~best & ~beside]
+    return kept
 
 
 def compress(symbols: np.ndarray, end_id: int, vocabulary: int) -> tuple[np.ndarray, np.ndarray]:
     """(rules as pairs, symbols). No pair holds the end id, so documents begin at a symbol of their own."""
-    rules = np.zeros(0, np.uint32)
-    for _ in range(ROUNDS):
-        room = min(ROUND_PAIRS, 65_536 - vocabulary - len(rules))
-        if len(symbols) < 2 or room <= 0:
-            break
+    rules, least = np.zeros(0, np.uint32), len(symbols)
+    while len(symbols) > 1 and vocabulary + len(rules) < 65_536:
+        usable = symbols != end_id
+        usable = usable[:-1] & usable[1:]
+        usable[odd_places(symbols)] = False
         keys = symbols[:-1].astype(np.uint32) << 16 | symbols[1:]
-        inside = (symbols[:-1] != end_id) & (symbols[1:] != end_id)
-        chosen = frequent_pairs(keys[inside], room) if inside.any() else rules[:0]
+        chosen, top = frequent_pairs(keys[usable], least, 65_536 - vocabulary - len(rules))
         if not len(chosen):
             break
-        order = np.argsort(chosen)
-        left, right = np.zeros(65_536, bool), np.zeros(65_536, bool)
-        left[chosen >> 16], right[chosen & 0xFFFF] = True, True
-        at = np.flatnonzero(left[symbols[:-1]] & right[symbols[1:]])
-        found = np.searchsorted(chosen[order], keys[at]).clip(max=len(chosen) - 1)
-        same = chosen[order][found] == keys[at]
-        at, found = at[same], order[found[same]]
+        least = max(LEAST_COUNT, min(least, top) // STEP)
+        at, which = places_of(chosen, symbols, usable)
+        kept = without_overlap(at, which)
+        # Of pairs that overlap with better ones, enough must be left; the best pair loses none, so rounds come to an end.
+        enough = np.bincount(which[kept], minlength=len(chosen)) >= LEAST_COUNT
+        kept &= enough[which]
+        number = np.cumsum(enough) - 1
         symbols = symbols.copy()
-        symbols[at] = vocabulary + len(rules) + found
-        symbols = np.delete(symbols, at + 1)
-        rules = np.concatenate([rules, chosen])
+        symbols[at[kept]] = vocabulary + len(rules) + number[which[kept]]
+        stays = np.ones(len(symbols), bool)
+        stays[at[kept] + 1] = False
+        symbols, rules = symbols[stays], np.concatenate([rules, chosen[enough]])
     return rules, symbols
 
 
@@ -107,7 +158,10 @@ def expand(symbols: np.ndarray, rules: np.ndarray, vocabulary: int) -> np.ndarra
 def write_block(doc_ids: list[int | None], ids: list[np.ndarray], end_id: int = END_ID, vocabulary: int = VOCABULARY) -> bytes:
     """A block of documents, each an array of ids that ends with the end id, which may also stand within."""
     sizes = np.array([len(x) for x in ids], np.uint64)
-    flat = np.concatenate(ids).astype(np.uint16) if ids else np.zeros(0, np.uint16)
+    flat = np.concatenate(ids) if ids else np.zeros(0, np.uint16)
+    if len(flat) and int(flat.max()) >= vocabulary:
+        raise ValueError(f"id {flat.max()} is not below the vocabulary's size {vocabulary}")
+    flat = flat.astype(np.uint16)
     rules, symbols = compress(flat, end_id, vocabulary)
     lengths = lengths_of(rules, vocabulary)
     each = np.ones(len(symbols), np.uint64)
@@ -160,28 +214,29 @@ class Block:
 
 
 def write(df: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", tokenizer: str = TOKENIZER,
-          end_id: int = END_ID) -> None:
+          end_id: int = END_ID, vocabulary: int = VOCABULARY, special_as_text: bool = False) -> None:
     """Writes the ids of all documents as blocks in ascending order of doc_id, nulls first, ties in any order.
 
     Ranges of ids become shards; rows of one id may be dealt to several, so no id is hot. A task encodes its range as a
     stream and ends a block after BLOCK_IDS ids. A null or empty text is the end id alone; an empty table writes
-    none. Other columns are not read. Blocks are rows of (shard, block, start, n_ids, data) in parquet files, so a
-    failed task leaves nothing behind.
+    none. Other columns are not read. An id that is not below `vocabulary` is an error. Blocks are rows of (shard, block,
+    start, n_ids, data) in parquet files, so a failed task leaves nothing behind. There is a shard for every SHARD_BYTES of
+    text, and as many as the session has shuffle partitions at least.
     """
     def blocks(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, shard = encoder(tokenizer).ids, TaskContext.get().partitionId()
+        encode, shard = encoder(tokenizer, special_as_text).ids, TaskContext.get().partitionId()
         end = np.array([end_id], "<u4").tobytes()
         block, start, size, docs, ids = 0, 0, 0, [], []
 
         def ended():
-            data = write_block(docs, ids, end_id)
+            data = write_block(docs, ids, end_id, vocabulary)
             return pa.RecordBatch.from_arrays(
                 [pa.array([v], f.type) for v, f in zip((shard, block, start, size, data), BLOCK_ARROW, strict=True)], schema=BLOCK_ARROW)
 
         for batch in it:
             for key, t in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 docs.append(key)
-                ids.append(np.frombuffer(encode(t.as_py() or "") + end, "<u4").astype(np.uint16))
+                ids.append(np.frombuffer(encode(t.as_py() or "") + end, "<u4"))
                 size += len(ids[-1])
                 if size >= BLOCK_IDS:
                     yield ended()
@@ -190,7 +245,9 @@ def write(df: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text",
             yield ended()
 
     rows = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), F.monotonically_increasing_id().alias("row"))
-    ordered = rows.repartitionByRange("doc_id", "row").sortWithinPartitions("doc_id", "row").select("doc_id", "text")
+    size = df.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    shards = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), size // SHARD_BYTES)
+    ordered = rows.repartitionByRange(shards, "doc_id", "row").sortWithinPartitions("doc_id", "row").select("doc_id", "text")
     ordered.mapInArrow(blocks, BLOCK_TYPE).write.parquet(path)
 
 

@@ -223,19 +223,22 @@ def near_duplicates(
     """
     rows = without(df, "fingerprint", "component_id")
     kept = [c for c in rows.columns if keep is None or c in keep]
-    fp = fresh("fp", rows.columns)
-    marked = stored(rows.select(*kept, F.col(doc_id).alias(f"{fp}_id"), fingerprint_of(text).alias(fp)))
-    found = classes(marked.select(F.col(fp).alias("fp"), F.col(f"{fp}_id").alias("id"))).withColumnRenamed("fp", fp)
+    fp, own = fresh("fp", rows.columns), fresh("own_id", rows.columns)
+    marked = stored(rows.select(*kept, F.col(doc_id).alias(own), fingerprint_of(text).alias(fp)))
+    found = classes(marked.select(F.col(fp).alias("fp"), F.col(own).alias("id"))).withColumnRenamed("fp", fp)
     digits = F.lower(F.lpad(F.hex(F.col(fp)), 16, "0")).alias("fingerprint")
     return marked.join(found, fp).select(*kept, digits, "component_id")
 
 
 def one_of_each(df: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """One row, with its own columns, of each component: that of the least doc_id, nulls last; of equal ones any."""
-    fp = fresh("fp", df.columns)
+    """One row, with its own columns, of each component: that of the least doc_id, nulls last; of equal ones any.
+
+    Null and empty texts are one component, with whatever else has three bits or fewer set. An empty table stays empty;
+    columns may have any names."""
+    fp, least, print_of = (fresh(name, df.columns) for name in ("fp", "keep_id", "keep_fp"))
     marked = stored(df.withColumn(fp, fingerprint_of(text)))
     found = rooted(marked.select(F.col(fp).alias("fp"), F.col(doc_id).alias("id")))
     first = found.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("unknown"), "id", "fp")).alias("k"))
-    keep = first.select(F.col("k.fp").alias("keep_fp"), F.col("k.id").alias("keep_id"))
-    same = (F.col(fp) == F.col("keep_fp")) & F.col(doc_id).eqNullSafe(F.col("keep_id"))
+    keep = first.select(F.col("k.fp").alias(print_of), F.col("k.id").alias(least))
+    same = (F.col(fp) == F.col(print_of)) & F.col(doc_id).eqNullSafe(F.col(least))
     return marked.join(keep, same, "left_semi").dropDuplicates([fp]).drop(fp)

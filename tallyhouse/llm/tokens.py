@@ -1,69 +1,100 @@
-"""Token ids of whole texts, by files of the tokenizers library, with a bounded cache of words.
+"""Token ids of whole texts, by BPE files of the tokenizers library.
 
-A pretokenizer cuts text at white space before any merge, so ids of a text are those of its words in a row. Words recur,
-so each task encodes new ones alone with the library. Texts with characters for which that cut is not sure
-(anything but printable ASCII, Latin letters and plain white space) are encoded whole.
+Files of two kinds are known: byte-level BPE that takes a space along with the word behind it, and byte-level BPE over
+lower-cased words whose last byte carries an end mark. Both merge the pair of least rank first, and a product's id grows
+with its rank, so tiktoken's encoder gives the same ids from the same vocabulary at a lower price. Texts with other
+characters than printable ASCII, Latin letters and plain white space, for which versions of Unicode may cut words in other
+places, and texts with the literal of a special token are encoded by the library itself. Nothing is kept between texts.
 """
 
 from __future__ import annotations
 
+import json
 import re
-from array import array
+import unicodedata
 from functools import lru_cache
 
+import numpy as np
 import public_tokenizers
+import tiktoken
 from tokenizers import Tokenizer
 
-UNSURE = re.compile(r"[^\t\n\r\x20-\x7e\xa1-˿]")
-# With a space before it, a word takes that space along; of several white-space characters the last is left to the word.
-SPACED = re.compile(r" ?[^ \n\t\r]+|[ \n\t\r]+(?![^ \n\t\r])|[ \n\t\r]+")
-CACHE_WORDS = 250_000
-LONGEST_CACHED = 48
+LATIN = [chr(c) for c in range(0xA1, 0x250) if chr(c) != "İ"]  # that one becomes two characters in lower case
+UNSURE = re.compile("[^\t\n\r\x20-\x7e" + "".join(LATIN) + "]")
+LETTERS = "a-z" + "".join(c for c in LATIN if unicodedata.category(c)[0] == "L")
+NUMBERS = "0-9" + "".join(c for c in LATIN if unicodedata.category(c)[0] == "N")
+# Contractions, runs of letters, single numbers and runs of other signs, as the files of lower-cased words cut them.
+WORDS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{NUMBERS}]|[^ \t\n\r{LETTERS}{NUMBERS}]+")
+# Stands for the end mark of a word in texts and vocabulary; sure texts do not hold it.
+END = "\x01"
+
+
+def byte_letters() -> dict[str, int]:
+    """The letter of each byte in vocabulary strings: printable Latin-1 stands for itself, the others follow from 256 on."""
+    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in set(own)]
+    return {chr(b): b for b in own} | {chr(256 + k): b for k, b in enumerate(rest)}
+
+
+class Vocabulary:
+    """What a tokenizer file states: ids, merges in the order of their rank, the end mark, special tokens."""
+
+    def __init__(self, path: str):
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        model = spec["model"]
+        self.ids: dict[str, int] = model["vocab"]
+        self.merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+        self.suffix: str = model["end_of_word_suffix"] or ""
+        self.specials = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        self.special = re.compile("(" + "|".join(map(re.escape, sorted(self.specials, key=len, reverse=True))) + ")")
+        products = [self.ids[a.removesuffix(self.suffix) + b if self.suffix else a + b] for a, b in self.merges]
+        if products != sorted(products):
+            raise ValueError(f"ids of {path} do not grow with the ranks of merges")
+
+    def ranks(self) -> dict[bytes, int]:
+        """Byte strings and their ids; END is the last byte of those with an end mark."""
+        byte = byte_letters()
+        out = {}
+        for token, i in self.ids.items():
+            ended = bool(self.suffix) and token.endswith(self.suffix)
+            plain = token[: -len(self.suffix)] if ended else token
+            out[bytes([byte[c] for c in plain]) + (END.encode() if ended else b"")] = i
+        return out
+
+
+@lru_cache(maxsize=4)
+def vocabulary(name: str) -> Vocabulary:
+    return Vocabulary(public_tokenizers.path(name))
 
 
 class Encoder:
-    """Ids of texts as little-endian 32-bit numbers."""
-
-    def __init__(self, path: str, spaced: bool, lower: bool):
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.spaced, self.lower = spaced, lower
-        self.words: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-
-    def whole(self, text: str) -> bytes:
-        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
-
-    def word(self, w: str) -> bytes:
-        """A word that is not in the newer cache. A last full stop or comma after a letter is a piece of its own."""
-        ids = self.older.get(w)
-        if ids is None:
-            if w[-1] in ".," and w[-2:-1].isalpha():
-                ids = (self.words.get(w[:-1]) or self.word(w[:-1])) + (self.words.get(w[-1]) or self.word(w[-1]))
-            else:
-                ids = self.whole(w)
-        if len(w) <= LONGEST_CACHED:
-            if len(self.words) >= CACHE_WORDS:
-                self.older, self.words = self.words, {}
-            self.words[w] = ids
-        return ids
+    """Ids of texts as little-endian 32-bit numbers; `special_as_text`: literals of special tokens are plain text."""
+
+    def __init__(self, name: str, special_as_text: bool):
+        known = vocabulary(name)
+        self.library = Tokenizer.from_file(public_tokenizers.path(name))
+        self.library.no_truncation()
+        self.library.no_padding()
+        self.library.encode_special_tokens = special_as_text
+        self.special = None if special_as_text else known.special
+        self.ended = bool(known.suffix)
+        pattern = f"[^{END}]+{END}" if self.ended else public_tokenizers.PATTERN
+        self.core = tiktoken.Encoding(name, pat_str=pattern, mergeable_ranks=known.ranks(), special_tokens={})
 
     def ids(self, text: str) -> bytes:
-        if UNSURE.search(text):
-            return self.whole(text)
-        if self.lower:
-            text = text.lower()
-        words = SPACED.findall(text) if self.spaced else text.split()
-        known, new = self.words.get, self.word
-        return b"".join([known(w) or new(w) for w in words])
+        if not text:
+            return b""
+        if UNSURE.search(text) or (self.special and self.special.search(text)):
+            return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        if self.ended:
+            text = "".join([w + END for w in WORDS.findall(text.lower())])
+        return self.core.encode_to_numpy(text).astype("<u4", copy=False).tobytes()
 
 
 @lru_cache(maxsize=4)
-def encoder(name: str) -> Encoder:
-    """The encoder of a tokenizer file, one per Python worker; only files of these two kinds are cut into words."""
-    path = public_tokenizers.path(name)
-    if name.startswith("byte_bpe"):
-        return Encoder(path, spaced=True, lower=False)
-    if name.startswith("word_bpe"):
-        return Encoder(path, spaced=False, lower=True)
-    raise ValueError(f"no rule for cutting texts of {name}")
+def encoder(name: str, special_as_text: bool = False) -> Encoder:
+    """The encoder of a tokenizer file, one per Python worker; its size does not depend on the texts."""
+    if not name.startswith(("byte_bpe", "word_bpe")):
+        raise ValueError(f"no rule for cutting texts of {name}")
+    return Encoder(name, special_as_text)

@@ -1,6 +1,7 @@
 import re
 
 from llm.helpers import FOLDER, docs, given_documents
+import pytest
 from pyspark.sql import functions as F
 
 import duckdb
@@ -130,3 +131,15 @@ def test_excerpts_of_long_items_and_items_without_a_window(spark):
     got = {(r.doc_id, r.item_id, r.kind) for r in D.found(df, items).collect()}
     assert got == {(0, 0, "exact"), (2, 1, "exact"), (3, 2, "exact"), (4, 3, "exact"), (5, 4, "exact")}
     assert {r.doc_id for r in D.clean(df, items).collect()} == {1, 6, 7, 8}
+
+
+NAMES = ["found_hash", "text_hash", "keys", "words", "at", "window", "template", "variant", "slots", "places", "shift", "same", "item_id"]
+
+
+@pytest.mark.parametrize("rows", [400_000, 0])
+def test_own_names_as_columns_and_tables_beyond_the_broadcast(spark, monkeypatch, rows):
+    monkeypatch.setattr(D, "BROADCAST_ROWS", rows)
+    df = docs(spark, ITEM, "nothing of it", None).withColumns({n: F.lit("x") for n in NAMES})
+    kept = D.clean(df, bench(spark, ITEM, "Capital of France?"))
+    assert kept.columns == df.columns and {r.doc_id for r in kept.collect()} == {1, 2}
+    assert {(r.doc_id, r.item_id) for r in D.found(df, bench(spark, ITEM)).collect()} == {(0, 0)}

@@ -5,6 +5,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from llm.helpers import FOLDER, docs, given_documents
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import public_tokenizers
@@ -12,16 +13,16 @@ from tallyhouse.llm import packing, tokens
 from tallyhouse.llm.queries import all_queries
 
 
-def library(name):
+def library(name, special_as_text=False):
     t = Tokenizer.from_file(public_tokenizers.path(name))
-    t.encode_special_tokens = True
+    t.encode_special_tokens = special_as_text
     return lambda text: t.encode(text, add_special_tokens=False).ids
 
 
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
-def test_cached_ids_are_the_librarys(name):
-    plain, mine = library(name), tokens.encoder(name).ids
-    same = lambda t: np.frombuffer(mine(t), "<u4").tolist() == plain(t)
+def test_ids_are_the_librarys(name):
+    each = [(library(name, s), tokens.encoder(name, s).ids) for s in (False, True)]
+    same = lambda t: all(np.frombuffer(mine(t), "<u4").tolist() == plain(t) for plain, mine in each)
     for _, text in given_documents():
         assert same(text or "")
     for text in ("", " ", "\n\n a  b\t\r\n", "it's I'LL 's", "<|endoftext|>a", "ÀÉİ ǅ ÿ½²", "α日本 ‍ é", "a\x0bb\x1cc\x85d\xa0e", "x" * 5000, "a.. b,, c.,"):
@@ -30,7 +31,7 @@ def test_cached_ids_are_the_librarys(name):
 
 @settings(max_examples=300, deadline=None)
 @given(st.text(alphabet="aB'sé.,!?1²  \n\t ́Σ", max_size=30))
-def test_cached_ids_of_odd_texts(text):
+def test_ids_of_odd_texts(text):
     for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
         assert np.frombuffer(tokens.encoder(name).ids(text), "<u4").tolist() == library_ids(name, text)
 
@@ -108,5 +109,11 @@ def test_several_groups_and_other_columns(spark):
     df = spark.range(500).selectExpr("id % 97 + 1 AS length", "id", "'mine' AS ids")
     rows = packing.pack(df, capacity=100, group_pieces=60).collect()
     assert len(rows) == 500 and check(rows, 100) >= 500 * 49 / 100 and len({r.sequence_id >> 40 for r in rows}) > 3
-    with pytest.raises(Exception, match="length not from 1"):
-        packing.pack(spark.sql("SELECT 101L AS length"), capacity=100).collect()
+
+
+def test_unfit_lengths_and_clashing_names(spark):
+    df = spark.sql("SELECT * FROM VALUES (1L, 5L), (2L, NULL), (3L, 0L), (4L, 101L), (5L, 100L) AS t(offset, length)")
+    rows = sorted(packing.pack(df.withColumn("id", df["offset"]), capacity=100).collect(), key=lambda r: r.id)
+    assert [(r.id, r.sequence_id is None, r.offset) for r in rows] == [(1, False, 0), (2, True, None), (3, True, None), (4, True, None), (5, False, 0)]
+    wide = docs(spark, "a", None).withColumn("row", F.lit(1)).withColumn("ids", F.lit("x"))
+    assert sorted(r.length for r in packing.packed(wide).collect()) == [1, 2]

@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from llm.helpers import FOLDER, by_id, docs, given_documents
@@ -37,11 +38,29 @@ def test_repetitive_ids_shrink():
     assert len(block.rules) > 8 and len(block.symbols) < 3200 / 10 and len(np.unique(block.symbols)) > 1
 
 
+def test_no_pair_is_left():
+    rng = np.random.default_rng(1)
+    flat = rng.zipf(1.4, 20_000).clip(max=60).astype(np.uint16)
+    flat[::97] = 1
+    for given_ids in (flat, np.full(5000, 7, np.uint16), np.array([1] * 50, np.uint16), np.array([3], np.uint16)):
+        rules, symbols = R.compress(given_ids, 1, 100)
+        assert R.expand(symbols, rules, 100).tolist() == given_ids.tolist()
+        usable = (symbols[:-1] != 1) & (symbols[1:] != 1)
+        usable[R.odd_places(symbols)] = False
+        keys, count = np.unique(np.stack([symbols[:-1], symbols[1:]])[:, usable], axis=1, return_counts=True)
+        assert not len(count) or count.max() < R.LEAST_COUNT
+    assert len(R.compress(np.full(5000, 7, np.uint16), 1, 100)[1]) < 20
+
+
+def test_ids_beyond_the_vocabulary_are_refused():
+    with pytest.raises(ValueError):
+        R.write_block([1], [np.array([49_408, 1], np.uint32)])
+
+
 def test_query(spark, monkeypatch):
     monkeypatch.setattr(R, "BLOCK_IDS", 5000)
     rows = by_id(all_queries()["op4_repair_ids"](spark, FOLDER))
     t = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    t.encode_special_tokens = True
     start = 0
     for i, text in given_documents():
         ids = np.array([*t.encode(text or "", add_special_tokens=False).ids, 1], "<u4")

@@ -109,3 +109,13 @@ def test_components_of_a_long_path(spark):
     edges = spark.range(200).selectExpr("id * 7 % 1000 AS a", "(id + 1) * 7 % 1000 AS b")
     got = simhash.components(edges).collect()
     assert len(got) == len({r.node for r in got}) and {r.root for r in got} == {min(r.node for r in got)}
+
+
+def test_columns_may_have_the_operators_own_names(spark):
+    names = ["fp", "fp_id", "own_id", "id", "root", "node", "keep_fp", "keep_id", "k", "fingerprint", "unknown"]
+    df = docs(spark, "a b c d", "A b c d", None, ids=[2, 1, None]).withColumns({n: F.lit("x") for n in names})
+    rows = simhash.near_duplicates(df).collect()
+    assert {(r.doc_id, r.component_id, r.fp_id, r.own_id) for r in rows} == {(2, 1, "x", "x"), (1, 1, "x", "x"), (None, None, "x", "x")}
+    kept = simhash.one_of_each(df)
+    assert kept.columns == df.columns and {r.doc_id for r in kept.collect()} == {1, None}
+    assert simhash.one_of_each(df.limit(0)).count() == 0
