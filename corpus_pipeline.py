@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import decontaminate, packing, pii, shingles, toxicity
+from tallyhouse.llm import decontaminate, packing, pii, simhash, toxicity
 from tallyhouse.llm.common import read, stored
 
 # SQL has no fingerprints by XXH64, logistic models or tokenizers; the tests compare with plain versions.
@@ -23,8 +23,8 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of near-copies (five-word shingles, similarity 0.8 or more) the document of the least id stays."""
-    return shingles.one_of_each(docs)
+    """Of each component of fingerprints (three-word shingles) linked at three bits or fewer the document of the least id stays."""
+    return simhash.one_of_each(docs)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
