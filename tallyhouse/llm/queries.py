@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.llm import (
-    decontaminate, host_quality, packing, pii, repair_ids, secrets_ledger, sharding, simhash,
+    decontaminate, host_quality, packing, periodic_runs, pii, repair_ids, secrets_ledger, sharding, simhash,
     suffix_dedup, toxicity,
 )
 from tallyhouse.llm.common import read, shared_folder, stored, text_or_empty
@@ -117,5 +117,20 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(docs, read(spark, sf_dir, "labels")).drop("text")
 
 
+@query
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    found = periodic_runs.with_runs(docs.select("doc_id", periodic_runs.stretched().alias("text")), keep=["doc_id"])
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(
+        r["length"].alias("length"), (-r["start"]).alias("back"), (-r["period"]).alias("short"))))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    return found.withColumn("longest", longest).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("longest.back")).alias("start"), "longest.length",
+        (-F.col("longest.short")).alias("period"),
+        F.floor(F.lit(1000) * F.col("longest.length") / -F.col("longest.short")).cast("long").alias("exponent_milli"),
+        F.sha2(F.when(F.size("runs") > 0, F.concat(lines, F.lit("\n"))).otherwise("").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
