@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.llm import (
-    decontaminate, host_quality, packing, periodic_runs, pii, repair_ids, secrets_ledger, sharding, simhash,
+    bpe_codec, decontaminate, host_quality, packing, periodic_runs, pii, repair_ids, secrets_ledger, sharding, simhash,
     suffix_dedup, toxicity,
 )
 from tallyhouse.llm.common import read, shared_folder, stored, text_or_empty
@@ -132,5 +132,14 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
 
 
+@query
+def op12_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ids = bpe_codec.encoded(read(spark, sf_dir, "documents").select("doc_id", "text"), keep=["doc_id"])
+    return bpe_codec.decoded(ids).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)

@@ -45,6 +45,7 @@ class Vocabulary:
         model = spec["model"]
         self.ids: dict[str, int] = model["vocab"]
         self.merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+        self.decoder = (spec["decoder"] or {}).get("type")
         self.suffix: str = model["end_of_word_suffix"] or ""
         self.specials = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.special = re.compile("(" + "|".join(map(re.escape, sorted(self.specials, key=len, reverse=True))) + ")")
