@@ -18,6 +18,30 @@ def rate(rule: str) -> tuple[str, str]:
         f"ELSE {high} END AS w_{rule}")
 
 
+TERMS = r"""regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+
+LEXICAL_SEARCH = f"""
+WITH terms AS (
+    SELECT doc_id, unnest({TERMS}) AS term
+    FROM documents),
+counted AS (SELECT doc_id, term, count(*) AS tf FROM terms GROUP BY ALL),
+sizes AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM counted GROUP BY doc_id),
+totals AS (SELECT count(*) AS docs, sum(n)::BIGINT AS words FROM sizes),
+lengths AS (SELECT doc_id, 100 - 50 + (50 * n * docs) // words AS m FROM sizes, totals),
+wanted AS (SELECT DISTINCT item_id, unnest({TERMS}) AS term
+    FROM benchmark),
+weights AS (SELECT term, floor(1000 * ln((2 * max(docs) + 2) / (2 * count(*) + 1)))::BIGINT AS w
+    FROM counted, totals WHERE term IN (SELECT term FROM wanted) GROUP BY term),
+scores AS (
+    SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m)))::BIGINT AS score
+    FROM wanted JOIN weights USING (term) JOIN counted USING (term) JOIN lengths USING (doc_id) GROUP BY item_id, doc_id),
+ranked AS (
+    SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+    FROM scores WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 50
+"""
+
 HOST_QUALITY = rf"""
 WITH split AS (
     SELECT row_number() OVER () AS n, doc_id, source, coalesce(text, '') AS t,
@@ -56,7 +80,7 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM rows LEFT JOIN verdicts USING (source)
 """
 
-SQL: dict[str, str] = {"op2_host_quality": HOST_QUALITY}
+SQL: dict[str, str] = {"op2_host_quality": HOST_QUALITY, "op13_lexical_search": LEXICAL_SEARCH}
 
 
 def all_sql() -> dict[str, str]:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.llm import (
-    bpe_codec, decontaminate, host_quality, packing, periodic_runs, pii, repair_ids, secrets_ledger, sharding, simhash,
+    bpe_codec, decontaminate, host_quality, lexical_search, packing, periodic_runs, pii, repair_ids, secrets_ledger, sharding, simhash,
     suffix_dedup, toxicity,
 )
 from tallyhouse.llm.common import read, shared_folder, stored, text_or_empty
@@ -141,5 +141,10 @@ def op12_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+@query
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
