@@ -71,12 +71,13 @@ def frequent_pairs(keys: np.ndarray, least: int, most: int) -> tuple[np.ndarray,
     return ordered[at[often]], top
 
 
-def places_of(chosen: np.ndarray, symbols: np.ndarray, usable: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(places, which of the chosen pairs stands there), ascending."""
+def places_of(chosen: np.ndarray, symbols: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(places, which of the chosen pairs stands there) of the ascending places given."""
     left, right = np.unique(chosen >> 16), np.unique(chosen & 0xFFFF)
     is_left, is_right = np.zeros(65_536, bool), np.zeros(65_536, bool)
     is_left[left], is_right[right] = True, True
-    at = np.flatnonzero(usable & is_left[symbols[:-1]] & is_right[symbols[1:]])
+    at = at[is_left[symbols[at]]]
+    at = at[is_right[symbols[at + 1]]]
     if len(left) * len(right) <= TABLE:
         row, column = np.zeros(65_536, np.int32), np.zeros(65_536, np.int32)
         row[left], column[right] = np.arange(len(left)) * len(right), np.arange(len(right))
@@ -112,17 +113,25 @@ def without_overlap(at: np.ndarray, which: np.ndarray) -> np.ndarray:
 
 def compress(symbols: np.ndarray, end_id: int, vocabulary: int) -> tuple[np.ndarray, np.ndarray]:
     """(rules as pairs, symbols). No pair holds the end id, so documents begin at a symbol of their own."""
-    rules, least = np.zeros(0, np.uint32), len(symbols)
+    rules, least, fresh = np.zeros(0, np.uint32), len(symbols), 0
     while len(symbols) > 1 and vocabulary + len(rules) < 65_536:
         usable = symbols != end_id
         usable = usable[:-1] & usable[1:]
         usable[odd_places(symbols)] = False
-        keys = symbols[:-1].astype(np.uint32) << 16 | symbols[1:]
-        chosen, top = frequent_pairs(keys[usable], least, 65_536 - vocabulary - len(rules))
+        if fresh:  # what else occurs often enough was replaced before, so pairs with a new symbol are counted first
+            new = symbols >= fresh
+            at = np.flatnonzero((new[:-1] | new[1:]) & usable)
+        else:
+            at = np.flatnonzero(usable)
+        chosen, top = frequent_pairs(symbols[at].astype(np.uint32) << 16 | symbols[at + 1], least, 65_536 - vocabulary - len(rules))
         if not len(chosen):
-            break
+            if not fresh:
+                break
+            fresh = 0
+            continue
+        fresh = vocabulary + len(rules) if least == LEAST_COUNT else 0
         least = max(LEAST_COUNT, min(least, top) // STEP)
-        at, which = places_of(chosen, symbols, usable)
+        at, which = places_of(chosen, symbols, at)
         kept = without_overlap(at, which)
         # Of pairs that overlap with better ones, enough must be left; the best pair loses none, so rounds come to an end.
         enough = np.bincount(which[kept], minlength=len(chosen)) >= LEAST_COUNT
