@@ -689,7 +689,8 @@ QUERIES["stg_interest_union"] = lambda t: loan.staged_interest(t, W)
 
 
 def _loan_job(t, parity: bool) -> DataFrame:
-    return loan.loan_job(t, t["dim_loan"], t["reject_log"], W, NOW, parity, campaign_start=CAMPAIGN_START).table
+    rates = audit.Warehouse(t.spark, scratch(t.spark)).staged("stg_loan_interest_pct", loan.staged_interest(t, W, parity))
+    return loan.loan_job(t, t["dim_loan"], t["reject_log"], W, NOW, parity, CAMPAIGN_START, rates).table
 
 
 QUERIES["job_dim_loan"] = partial(_loan_job, parity=False)

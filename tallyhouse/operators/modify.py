@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyhouse.functions.cleaning import all_of, col
-from tallyhouse.operators.lookup import dedupe_latest
+from tallyhouse.operators.lookup import dedupe_latest, ordered
 from tallyhouse.operators.presence import only_in_both, only_in_left
 
 INSERT, UPDATE, KEEP = "insert", "update", "keep"
@@ -85,6 +85,59 @@ def merge_upsert(
     return updated.unionByName(only_in_left(source, known_keys, keys, right_unique=True).selectExpr(*new))
 
 
+def one_landed_row(
+    landed: DataFrame, keys: Sequence[str], changed: str, facts: Sequence[str], order_by: Sequence[str]
+) -> DataFrame:
+    """One row per key for `merge_landed`: the changed row where there is one, with the `facts` of the latest row.
+
+    Several changed rows of a key, or a changed row with a null key, fail the job; unchanged rows without a key go.
+    """
+    for key in keys:
+        refused = F.raise_error(F.lit(f"merge key {key} is null")).cast(landed.schema[key].dataType)
+        landed = landed.withColumn(key, F.when(F.col(key).isNull() & F.col(changed), refused).otherwise(F.col(key)))
+    landed = landed.filter(all_of([F.col(key).isNotNull() for key in keys]))
+    latest = ordered(order_by, facts)
+    of_key = Window.partitionBy(*keys)
+    message = F.lit(f"merge source has several rows for one {', '.join(keys)}")
+    single = F.when(F.col("_place") == 1, True).when(F.col(changed), F.raise_error(message).cast("boolean")).otherwise(False)
+    placed = landed.select(
+        "*", F.first(F.struct(*facts)).over(of_key.orderBy(*latest)).alias("_facts"),
+        F.row_number().over(of_key.orderBy(F.desc(changed), *latest)).alias("_place"),
+    ).filter(single)
+    others = [c for c in landed.columns if c not in facts]
+    return placed.select(*others, *[F.col(f"_facts.{c}").alias(c) for c in facts])
+
+
+def merge_landed(
+    target: DataFrame, landed: DataFrame, keys: Sequence[str], changed: str, facts: Sequence[str],
+    insert_only: Sequence[str] = (), op_column: str | None = None,
+) -> DataFrame:
+    """`target` after a keyed merge of the `landed` rows whose `changed` flag is set, with the `facts` of all landed rows.
+
+    For tables whose change window no scan can apply, and whose corrections need every landing row anyway: one full outer
+    join updates, inserts and brings the facts, so the target and each landing table are read and shuffled once. `landed`
+    has one row per key (see `one_landed_row`); its other columns are written as by `merge_upsert`.
+    """
+    keys = list(keys)
+    types = dict(target.dtypes)
+    written = [c for c in landed.columns if c in types and c not in keys and c not in facts]
+    t = target.withColumn("_in_target", F.lit(True)).alias("t")
+
+    def after(name: str) -> str:
+        new = f"CAST(l.`{name}` AS {types[name]})"
+        if name in keys:
+            return f"coalesce(t.`{name}`, {new}) AS `{name}`"
+        if name not in written:
+            return f"t.`{name}`"
+        takes = "t._in_target IS NULL" if name in insert_only else f"l.`{changed}`"
+        return f"CASE WHEN {takes} THEN {new} ELSE t.`{name}` END AS `{name}`"
+
+    on = all_of([F.col(f"t.{k}") == F.col(f"l.{k}") for k in keys])
+    op = f"CASE WHEN t._in_target IS NULL THEN '{INSERT}' WHEN l.`{changed}` THEN '{UPDATE}' ELSE '{KEEP}' END AS {op_column}"
+    joined = t.join(landed.alias("l"), on, "full").filter(F.coalesce("t._in_target", f"l.{changed}"))
+    return joined.selectExpr(*[after(c) for c in target.columns], *([op] if op_column else []), *[f"l.`{c}`" for c in facts])
+
+
 def update_where(target: DataFrame, condition: Column, changes: dict[str, Column], flag: str | None = None) -> DataFrame:
     """Set columns on the rows that meet a condition; a null condition changes nothing.
 

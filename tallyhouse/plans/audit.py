@@ -127,6 +127,16 @@ class Warehouse:
     def write(self, table: str, df: DataFrame, now: str, base: int | None = None) -> None:
         store.write_snapshot(df, self.path(table), now, base=base)
 
+    def staged(self, table: str, rows: DataFrame, batch_id: int | None = None) -> DataFrame:
+        """Rows that a job reads again, written once to a staging table and read back; logged if a batch is given."""
+        began = clock_time()
+        watched, watch = _counted(rows)
+        store.truncate_load(watched, self.path(table))
+        if batch_id is not None:
+            self.record("etl_step_log", step_rows(
+                self.spark, batch_id, table, [("write", "Insert", watch.get["rows"])], began, clock_time()))
+        return self.spark.read.schema(rows.schema).parquet(self.path(table))
+
     def record(self, table: str, events: DataFrame) -> None:
         store.append(events, self.path(table))
 

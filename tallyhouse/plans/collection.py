@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse import values as V
@@ -30,6 +30,7 @@ COLLECTED_FROM_PARITY = {
     "collected_interest_amount": "amount_prin", "collected_fees_amount": "amount_int",
     "collected_other_amount": "amount_other",
 }
+CURES = ("_cure_id", "_notice_id", "_outgoing_date", "_default_date", "_sent", "_cured", "_cure_date")
 ITEM_AMOUNTS = ("total_amount", "amount_fee", "amount_prin", "amount_int", "amount_other")
 
 
@@ -64,70 +65,70 @@ def collection_purge(landing: Tables, target: DataFrame, parity: bool = False) -
 
 # --- collected amounts -----------------------------------------------------------------
 
-def loans_by_activity(landing: Tables, active: bool) -> DataFrame:
-    """Ids of the loans whose latest row is active, or is not; each id once."""
+def loan_activity(landing: Tables) -> DataFrame:
+    """Per loan id whether its latest row is active; null for a loan without a status."""
     rows = landing["lms_base_loans"].select("base_loan_id", "loan_status", "updated_datetime")
-    status = F.col("loan_status").isin(*V.ACTIVE_LOAN)
-    return dedupe_latest(rows, ["base_loan_id"], ["updated_datetime"]).filter(status if active else ~status).select("base_loan_id")
+    latest = dedupe_latest(rows, ["base_loan_id"], ["updated_datetime"])
+    return latest.select("base_loan_id", F.col("loan_status").isin(*V.ACTIVE_LOAN).alias("_active"))
 
 
-def collected_amounts(landing: Tables, window: ChangeWindow, active: bool, parity: bool = False) -> DataFrame:
-    """Sums of collected debit items of collection schedules, per loan.
+def collected_sums(landing: Tables, window: ChangeWindow, parity: bool = False) -> DataFrame:
+    """Sums of collected debit items of collection schedules per loan, as active and as other loans count them.
 
-    Items are summed per schedule before the join, so a schedule with very many items
-    reaches the shuffle as one row per map task. For active loans items dated up to the
-    start count. For others all items of loans with an item dated or changed since the
-    start count, or with `parity` those items alone.
+    Active loans count items dated up to the start, `a_...`, if there is one (`_counts_active`). Others count all items
+    if one is dated or changed since the start, or with `parity` those items alone: `o_...`, `_counts_other`. Items are
+    read once, and summed per schedule before the join, so a schedule with very many items reaches the shuffle as one row
+    per map task.
     """
+    since = F.coalesce(window.since_start("item_date") | window.since_start("updated_datetime"), F.lit(False))
+    past = F.coalesce(F.col("item_date") <= moment(window.start), F.lit(False))
     items = landing["lms_payment_schedule_items"].filter(
         F.col("status").isin(*V.COLLECTED_ITEM) & (F.col("item_type") == "D")
     )
-    touched = window.since_start("item_date") | window.since_start("updated_datetime")
-    if active:
-        items = items.filter(F.col("item_date") <= moment(window.start))
-    elif parity:
-        items = items.filter(touched)
     per_schedule = items.groupBy("payment_schedule_id").agg(
-        *[F.sum(c).alias(c) for c in ITEM_AMOUNTS], F.max(F.coalesce(touched, F.lit(False))).alias("_touched")
+        *[F.sum(F.when(past, F.col(c))).alias(f"a_{c}") for c in ITEM_AMOUNTS],
+        *[F.sum(F.when(since, F.col(c)) if parity else F.col(c)).alias(f"o_{c}") for c in ITEM_AMOUNTS],
+        F.bool_or(past).alias("_counts_active"), F.bool_or(since).alias("_counts_other"),
     )
     schedules = landing["lms_payment_schedules"].filter("is_collections = 1").select("payment_schedule_id", "base_loan_id")
-    loans = loans_by_activity(landing, active)
-    per_loan = (
-        per_schedule.join(schedules, "payment_schedule_id")
-        .join(loans, "base_loan_id")
-        .groupBy("base_loan_id")
-        .agg(*[F.sum(c).cast(C.MONEY).alias(c) for c in ITEM_AMOUNTS], F.max("_touched").alias("_touched"))
+    return per_schedule.join(schedules, "payment_schedule_id").groupBy("base_loan_id").agg(
+        *[F.sum(f"{side}_{c}").cast(C.MONEY).alias(f"{side}_{c}") for side in "ao" for c in ITEM_AMOUNTS],
+        F.bool_or("_counts_active").alias("_counts_active"), F.bool_or("_counts_other").alias("_counts_other"),
     )
-    return (per_loan if active else per_loan.filter("_touched")).drop("_touched")
+
+
+def _own_sums(prefix: str = "") -> list[Column]:
+    """Of both sums those that the loan's activity selects."""
+    return [F.when(F.col("_active"), F.col(f"a_{c}")).otherwise(F.col(f"o_{c}")).alias(f"{prefix}{c}") for c in ITEM_AMOUNTS]
+
+
+def _counted() -> Column:
+    return F.when(F.col("_active"), F.col("_counts_active")).when(~F.col("_active"), F.col("_counts_other"))
 
 
 def collected_by_status(landing: Tables, window: ChangeWindow, parity: bool = False) -> DataFrame:
-    """Collected amounts of active and other loans in one table; a loan is in one of the two."""
-    return (
-        collected_amounts(landing, window, True, parity).withColumn("_active", F.lit(True))
-        .unionByName(collected_amounts(landing, window, False, parity).withColumn("_active", F.lit(False)))
-    )
+    """Collected amounts of active and other loans in one table; a loan is one of the two."""
+    sums = collected_sums(landing, window, parity).join(loan_activity(landing), "base_loan_id")
+    return sums.filter(_counted()).select("base_loan_id", *_own_sums(), "_active")
 
 
-def attach_collected(landing: Tables, amounts: DataFrame):
-    mapped = only_in_both(amounts, landing["collection_lms_loan_map"], ["base_loan_id"])
-    renamed = mapped.select("base_loan_id", *[F.col(c).alias(f"_sum_{c}") for c in ITEM_AMOUNTS], "_active")
-    return lambda target: target.join(renamed, "base_loan_id", "left")
+def collected_amounts(landing: Tables, window: ChangeWindow, active: bool, parity: bool = False) -> DataFrame:
+    """Collected amounts of the active loans, or of the others."""
+    return collected_by_status(landing, window, parity).filter(F.col("_active") == active).drop("_active")
 
 
 # --- open cure records -----------------------------------------------------------------
 
-def open_cures(landing: Tables) -> DataFrame:
-    """Newest enabled, uncured record per active loan with its notice email."""
+def newest_cures(landing: Tables) -> DataFrame:
+    """Newest enabled, uncured record per loan with its notice email."""
     cures = landing["lms_collection_cure_info"].select(
         "base_loan_id", "lms_collection_cure_info_id", "rtc_notice", "default_time", "is_cured", "cure_date", "is_enabled"
     )
     newest = latest_by(cures, ["base_loan_id"], "lms_collection_cure_info_id", F.expr("is_cured = 0 AND is_enabled = 1"))
-    loans = loans_by_activity(landing, True)
     emails = dedupe_latest(landing["lms_deferred_outgoing_email"].select(
         F.col("lms_deferred_outgoing_email_id").alias("rtc_notice"), "outgoing_date", "is_sent"
     ), ["rtc_notice"], ["outgoing_date"])
-    return newest.join(loans, "base_loan_id").join(emails, "rtc_notice").select(
+    return newest.join(emails, "rtc_notice").select(
         "base_loan_id",
         F.col("lms_collection_cure_info_id").alias("_cure_id"), F.col("rtc_notice").alias("_notice_id"),
         F.col("outgoing_date").cast("date").alias("_outgoing_date"), F.col("default_time").cast("date").alias("_default_date"),
@@ -135,8 +136,16 @@ def open_cures(landing: Tables) -> DataFrame:
     )
 
 
-def attach_cures(landing: Tables):
-    return lambda target: target.join(open_cures(landing), "base_loan_id", "left")
+def loan_facts(landing: Tables, window: ChangeWindow, parity: bool = False) -> DataFrame:
+    """Per loan whether it is active, what was collected (`_counted`: anything that counts) and its newest open cure record."""
+    facts = loan_activity(landing).join(collected_sums(landing, window, parity), "base_loan_id", "left")
+    facts = facts.join(newest_cures(landing), "base_loan_id", "left")
+    cures = [c for c in facts.columns if c in CURES]
+    return facts.select("base_loan_id", "_active", F.coalesce(_counted(), F.lit(False)).alias("_counted"), *_own_sums("_sum_"), *cures)
+
+
+def attach_facts(facts: DataFrame):
+    return lambda target: target.join(facts, "base_loan_id", "left")
 
 
 def attach_status(landing: Tables):
@@ -166,34 +175,26 @@ def collection_updates(window: ChangeWindow, now: str, parity: bool = False) ->
         (F.col("status_code"), F.col("_status_code")), (F.col("sub_status_code"), F.col("_sub_status_code")),
     ])
     return [
-        Update("collected_active", ("collected",), F.col("_active"), collected | {"process_timestamp": moment(window.start)}),
-        Update("collected_inactive", ("collected",), ~F.col("_active"), collected | stamp),
+        Update("collected_active", ("facts",), F.col("_counted") & F.col("_active"), collected | {"process_timestamp": moment(window.start)}),
+        Update("collected_inactive", ("facts",), F.col("_counted") & ~F.col("_active"), collected | stamp),
         Update("outstanding", (), processed, outstanding | stamp),
-        Update("rtc_cure", ("cures",), processed & F.col("_cure_id").isNotNull(), cures | stamp),
+        Update("rtc_cure", ("facts",), processed & F.col("_active") & F.col("_cure_id").isNotNull(), cures | stamp),
         Update("status_sync", ("status",), differs, {"status_code": F.col("_status_code"), "sub_status_code": F.col("_sub_status_code")}),
     ]
 
 
 def correct_collections(
     landing: Tables, target: DataFrame, window: ChangeWindow, now: str, parity: bool = False,
-    only: tuple[str, ...] | None = None,
+    only: tuple[str, ...] | None = None, purged: bool = False,
 ) -> tuple[DataFrame, list[Update]]:
-    names = only or ("collected_active", "collected_inactive", "outstanding", "rtc_cure", "status_sync")
-    updates = [u for u in collection_updates(window, now, parity) if u.name in names]
-    attach = {
-        "collected": attach_collected(landing, _amounts_for(landing, window, parity, names)),
-        "cures": attach_cures(landing),
-        "status": attach_status(landing),
-    }
-    return apply_updates(target, updates, attach), updates
-
-
-def _amounts_for(landing: Tables, window: ChangeWindow, parity: bool, names) -> DataFrame:
-    wanted = {"collected_active", "collected_inactive"} & set(names)
-    if len(wanted) == 1:
-        active = "collected_active" in wanted
-        return collected_amounts(landing, window, active, parity).withColumn("_active", F.lit(active))
-    return collected_by_status(landing, window, parity)
+    """The target after its corrections, or the named ones. Amounts reach loans that landing maps to a collection; `purged`
+    says that the rows of all others are marked as deleted already."""
+    updates = [u for u in collection_updates(window, now, parity) if only is None or u.name in only]
+    facts = loan_facts(landing, window, parity)
+    if not purged:
+        facts = mark_present(facts, landing["collection_lms_loan_map"], ["base_loan_id"], "_mapped")
+        facts = facts.withColumn("_counted", F.col("_counted") & F.col("_mapped")).drop("_mapped")
+    return apply_updates(target, updates, {"facts": attach_facts(facts), "status": attach_status(landing)}), updates
 
 
 def collection_job(
@@ -208,6 +209,6 @@ def collection_job(
         flagged = mark_present(merged, landing["collection_lms_loan_map"], KEYS, "_in_landing").withColumn(
             DELETED, ~F.col("_in_landing")
         )
-    corrected, updates = correct_collections(landing, flagged, window, now, parity)
+    corrected, updates = correct_collections(landing, flagged, window, now, parity, purged=True)
     kept = [Step(s.name, s.kind, s.counts & ~F.col(DELETED)) for s in update_steps(updates)]
     return JobResult(corrected, target.columns, (merge_step(), Step("purge", "Delete", F.col(DELETED)), *kept))

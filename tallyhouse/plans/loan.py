@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import partial
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse import values as V
@@ -12,21 +12,15 @@ from tallyhouse.functions import cleaning as C
 from tallyhouse.functions.change_window import ChangeWindow, changed, changed_keys, moment
 from tallyhouse.operators.correct import Attach, Update, apply_updates, attach_latest
 from tallyhouse.operators.lookup import dedupe_latest, eav_by_column, eav_indirect, first_by, latest_by, max_by_key
-from tallyhouse.operators.modify import append_rows, diverges, merge_upsert, update_where
+from tallyhouse.operators.modify import append_rows, diverges, merge_landed, merge_upsert, one_landed_row, update_where
 from tallyhouse.operators.presence import mark_present, only_in_both, only_in_left
 from tallyhouse.plans.job import merge_step, OP, JobResult, Tables, update_steps
 from tallyhouse.sources import schemas as S
 
 KEYS = ["base_loan_id"]
 
-# Columns the corrections write, and those they only read.
-CORRECTED = [
-    "loan_status", "lms_status", "campaign_name", "withdrawn_timestamp", "loan_amount", "delinquent_date",
-    "default_date", "loan_interest_pct",
-]
-CORRECTION_READS = [
-    "base_loan_id", "loan_header_id", "campaign_id", "organization_id", "loan_type", "last_update", "process_timestamp",
-]
+# Columns of the base row that corrections read.
+BASE_FACTS = ["loan_status", "loan_amount", "loan_type", "effective_date", "updated_datetime", "loan_interest_pct"]
 
 
 def first_open_time(landing: Tables) -> DataFrame:
@@ -48,34 +42,63 @@ def loan_source(landing: Tables, window: ChangeWindow, now: str, narrow_first: b
     if narrow_first:
         keys = changed_keys(window, "loan_header_id", (header, ["last_update"]), (base, ["updated_datetime"]))
         base, header, opened = (only_in_both(t, keys, ["loan_header_id"], right_unique=True) for t in (base, header, opened))
-    b, h = base.alias("b"), header.alias("h")
+    joined = _with_lookups(landing, base.alias("b").join(header.alias("h"), F.col("b.loan_header_id") == F.col("h.loan_header_id")), opened)
+    return joined.filter(changed(window, "h.last_update", "b.updated_datetime")).select(*_loan_columns(now))
+
+
+def _with_lookups(landing: Tables, loans: DataFrame, opened: DataFrame) -> DataFrame:
+    """Loans (b) with headers (h), and what describes them: first opening (f), entity (e), organization (o), risk level (r)."""
     entities = landing["lms_entities"].select("lms_entity_id", "entity_name", "organization_id").alias("e")
     organizations = landing["upm_organizations"].select("organization_id", "organization_name").alias("o")
     levels = landing["risk_level"].select("id", "risk_code", "description").alias("r")
+    return (
+        loans.join(opened.alias("f"), F.col("h.loan_header_id") == F.col("f.loan_header_id"), "left")
+        .join(entities, F.col("h.lms_entity_id") == F.col("e.lms_entity_id"), "left")
+        .join(organizations, F.col("e.organization_id") == F.col("o.organization_id"), "left")
+        .join(levels, F.col("h.risk_level_id") == F.col("r.id"), "left")
+    )
+
+
+def _loan_columns(now: str) -> list[Column]:
     special = {
         "origination_date": C.date_of("b.origination_date", "h.origination_timestamp"),
         "loan_status": C.loan_status("h.status", "b.loan_status"),
         **{name: C.or_zero(f"h.{name}") for name in ("is_nc_auto_fund", "is_nc_auto_fund_flow", "is_auto_fund")},
     }
 
-    def taken(side: str, names: list[str]) -> list:
-        return [special[name].alias(name) if name in special else f"{side}.{name}" for name in names]
+    def taken(side: str, names: list[str]) -> list[Column]:
+        return [special.get(name, F.col(f"{side}.{name}")).alias(name) for name in names]
+
+    return [
+        *taken("b", S.LOAN_BASE_PASS), *taken("h", S.LOAN_HEADER_PASS),
+        F.lit(V.LMS_CODE).alias("lms_code"), F.col("e.entity_name"), F.col("e.organization_id"), F.col("o.organization_name"),
+        F.col("h.status").alias("lms_status"), F.col("r.risk_code"),
+        F.col("r.description").alias("risk_level_description"), F.col("f.agent_open_time"),
+        moment(now).alias("process_timestamp"),
+    ]
+
+
+def _base_facts(side: str = "") -> list[Column]:
+    return [F.lit(True).alias("_in_base"), *[F.col(f"{side}{c}").alias(f"_base_{c}") for c in BASE_FACTS]]
 
-    return (
-        b.join(h, F.col("b.loan_header_id") == F.col("h.loan_header_id"))
-        .filter(changed(window, "h.last_update", "b.updated_datetime"))
-        .join(opened.alias("f"), F.col("h.loan_header_id") == F.col("f.loan_header_id"), "left")
-        .join(entities, F.col("h.lms_entity_id") == F.col("e.lms_entity_id"), "left")
-        .join(organizations, F.col("e.organization_id") == F.col("o.organization_id"), "left")
-        .join(levels, F.col("h.risk_level_id") == F.col("r.id"), "left")
-        .select(
-            *taken("b", S.LOAN_BASE_PASS), *taken("h", S.LOAN_HEADER_PASS),
-            F.lit(V.LMS_CODE).alias("lms_code"), "e.entity_name", "e.organization_id", "o.organization_name",
-            F.col("h.status").alias("lms_status"), "r.risk_code",
-            F.col("r.description").alias("risk_level_description"), "f.agent_open_time",
-            moment(now).alias("process_timestamp"),
-        )
-    )
+
+FACTS = ["_in_base", *[f"_base_{c}" for c in BASE_FACTS]]
+CHANGED = "_changed"
+
+
+def landed_loans(landing: Tables, window: ChangeWindow, now: str) -> DataFrame:
+    """One row per base loan: what the merge writes if the loan or its header changed, and the facts corrections need.
+
+    Columns of loans that did not change are null, so that they weigh little in the shuffle.
+    """
+    base, header = landing["lms_base_loans"].alias("b"), landing["lms_loan_header"].alias("h")
+    joined = base.join(header, F.col("b.loan_header_id") == F.col("h.loan_header_id"), "left")
+    is_changed = F.col("h.loan_header_id").isNotNull() & changed(window, "h.last_update", "b.updated_datetime")
+    rows = _with_lookups(landing, joined, first_open_time(landing)).select(
+        *_loan_columns(now), *_base_facts("b."), F.coalesce(is_changed, F.lit(False)).alias(CHANGED))
+    written = [c for c in rows.columns if c not in (*KEYS, *FACTS, CHANGED)]
+    slim = rows.select(*KEYS, CHANGED, *[F.when(F.col(CHANGED), F.col(c)).alias(c) for c in written], *FACTS)
+    return one_landed_row(slim, KEYS, CHANGED, FACTS, ["_base_updated_datetime"])
 
 
 def loan_merge(landing: Tables, target: DataFrame, window: ChangeWindow, now: str, small_source: bool = False) -> DataFrame:
@@ -177,12 +200,11 @@ def _join(extra: DataFrame, key: str, target: DataFrame) -> DataFrame:
     return target.join(extra, key, "left")
 
 
-def loan_attachments(landing: Tables, window: ChangeWindow, parity: bool) -> dict[str, Attach]:
-    base = landing["lms_base_loans"].select(
-        "base_loan_id", F.lit(True).alias("_in_base"),
-        *[F.col(c).alias(f"_base_{c}") for c in (
-            "loan_status", "loan_amount", "loan_type", "effective_date", "updated_datetime", "loan_interest_pct")],
-    )
+def loan_attachments(
+    landing: Tables, window: ChangeWindow, parity: bool, rates: DataFrame | None = None
+) -> dict[str, Attach]:
+    """What corrections read, by loan, header and campaign. `rates`: the staged interest rates, if they are written already."""
+    base = landing["lms_base_loans"].select("base_loan_id", *_base_facts())
     header = landing["lms_loan_header"].select(
         "loan_header_id", F.lit(True).alias("_in_header"), F.col("status").alias("_header_status"),
         F.col("last_update").alias("_header_updated"),
@@ -192,7 +214,8 @@ def loan_attachments(landing: Tables, window: ChangeWindow, parity: bool) -> dic
         *[F.col(c).alias(f"_col_{c}") for c in ("delinquency_date", "create_timestamp", "fully_defaulted_date")],
     )
     # A loan may have several staged rates; the greatest readable one is taken.
-    staged = staged_interest(landing, window, parity).groupBy("base_loan_id").agg(
+    rates = staged_interest(landing, window, parity) if rates is None else rates
+    staged = rates.groupBy("base_loan_id").agg(
         F.max(F.col("loan_interest_pct").try_cast("decimal(18,6)")).alias("_staged_rate")
     )
     leads = landing["lead_source"].select(
@@ -308,27 +331,24 @@ def resolve_rejects(landing: Tables, reject_log: DataFrame, now: str, parity: bo
 
 def loan_job(
     landing: Tables, target: DataFrame, reject_log: DataFrame, window: ChangeWindow, now: str,
-    parity: bool = False, small_source: bool = False, campaign_start: str = V.CAMPAIGN_START,
+    parity: bool = False, campaign_start: str = V.CAMPAIGN_START, rates: DataFrame | None = None,
 ) -> JobResult:
-    """Merge and corrections in one plan.
+    """Merge and corrections in one pass over the target and over each landing table.
 
-    A loan row has a hundred columns, its corrections read and write a few and need three
-    different join keys. So they run over a narrow projection, and what they changed is
-    joined back by loan: the wide rows are shuffled once, by the merge.
+    Loans meet their landing rows once, by a full outer join that updates, inserts and brings what corrections need of the
+    base row; the other tables are reduced to small ones keyed by loan, header or campaign and joined onto the result.
+    The header is read a second time, by two columns, for a loan's row may name another header than its landing row.
+    `rates`: `staged_interest` as written before the job (see `Warehouse.staged`), else it is planned here and appended.
     """
-    merged = loan_merge(landing, target, window, now, small_source)
-    narrow, updates = correct_loans(
-        landing, merged.select(*CORRECTION_READS, *CORRECTED), window, now, parity, campaign_start=campaign_start
-    )
-    flags = [update.flag for update in updates]
-    fixed = narrow.select("base_loan_id", F.lit(True).alias("_fixed"), *[F.col(c).alias(f"_new_{c}") for c in CORRECTED], *flags)
-    replaced = [
-        f"CASE WHEN _fixed THEN `_new_{c}` ELSE `{c}` END AS `{c}`" if c in CORRECTED else f"`{c}`" for c in merged.columns
-    ]
-    corrected = merged.join(fixed, "base_loan_id", "left").selectExpr(*replaced, *flags)
+    merged = merge_landed(
+        target, landed_loans(landing, window, now), KEYS, CHANGED, FACTS, S.INSERT_ONLY["dim_loan"], op_column=OP)
+    updates = loan_updates(window, now, parity, campaign_start)
+    attach = loan_attachments(landing, window, parity, rates)
+    del attach["base"]
+    flagged = apply_updates(merged, updates, attach).select(*target.columns, OP, *[update.flag for update in updates])
     resolved = resolve_rejects(landing, reject_log, now, parity)
     orphans = orphan_headers(landing, window, now, None if parity else resolved)
-    return JobResult(
-        corrected, target.columns, (merge_step(), *update_steps(updates)),
-        {"reject_log": append_rows(resolved, orphans), "stg_loan_interest_pct": staged_interest(landing, window, parity)},
-    )
+    side = {"reject_log": append_rows(resolved, orphans)}
+    if rates is None:
+        side["stg_loan_interest_pct"] = staged_interest(landing, window, parity)
+    return JobResult(flagged, target.columns, (merge_step(), *update_steps(updates)), side)
