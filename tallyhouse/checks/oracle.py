@@ -6,7 +6,7 @@ updated, kept and inserted rows, corrections are chains of SELECT * REPLACE.
 
 from __future__ import annotations
 
-from tallyhouse.checks.queries import COLLECTION_STEP_COLUMNS, DIMENSION_MAP, LANDING_MAP, LOAN_STEP_COLUMNS, PAYMENT_STEP_COLUMNS
+from tallyhouse.checks.queries import ALTERED, COLLECTION_STEP_COLUMNS, DIMENSION_MAP, LANDING_MAP, LOAN_STEP_COLUMNS, PAYMENT_STEP_COLUMNS
 from tallyhouse.sources import schemas as S
 from tallyhouse.sources.derived import BASE_TABLES, END, NOW, START, TABLES, TARGET_TYPES, TYPES, inputs
 
@@ -260,11 +260,34 @@ for _key, _left, _right in (
     ("recon_data_equal", "dim_payment_schedule_removed", "dim_payment_schedule_removed_copy"),
 ):
     add(_key, f"SELECT n AS differing_rows, CASE WHEN n = 0 THEN 'Match' ELSE 'Mismatch' END AS data_match FROM (SELECT ({difference(_left, _right)}) AS n) d", "differing_rows data_match")
-for _key, _left, _right in (
-    ("column_set_equality", "dim_customer", "dim_customer_copy"), ("recon_schema", "dim_loan", "dim_loan_copy"),
-    ("recon_dtypes", "dim_payment_schedule", "dim_payment_schedule_removed"),
-):
-    add(_key, counted("'Match' AS schema_match, 'Match' AS datatype_match", f"{{{_left}}}", f"{{{_right}}}"), "schema_match datatype_match source_count target_count")
+def schemas(*tables: str) -> str:
+    """Each table against its copy and its altered copy, from what the engine says of their columns."""
+    def described(rows: str, side: str) -> str:
+        return f"(SELECT column_name, column_type AS {side}_type FROM (DESCRIBE SELECT * FROM {rows}))"
+
+    def compared(name: str, other: str, rows: str) -> str:
+        return (
+            f"SELECT '{name}' AS source_table, '{name}_{other}' AS target_table, (SELECT count(*) FROM {{{name}}}) AS source_count, (SELECT count(*) FROM {rows}) AS target_count, "
+            "count(source_type) AS source_columns, count(target_type) AS target_columns, count(*) FILTER (WHERE source_type IS NOT NULL AND target_type IS NOT NULL) AS shared_columns, "
+            f"count(*) FILTER (WHERE source_type = target_type) AS same_types FROM {described(f'{{{name}}}', 'source')} s FULL JOIN {described(rows, 'target')} d USING (column_name)")
+
+    parts = []
+    for name in tables:
+        lost, retyped = ALTERED[name]
+        exclude = f" EXCLUDE ({', '.join(lost)})" if lost else ""
+        replaced = f" REPLACE ({', '.join(f'CAST({c} AS DOUBLE) AS {c}' for c in retyped)})" if retyped else ""
+        parts.append(compared(name, "copy", f"{{{name}_copy}}"))
+        parts.append(compared(name, "altered", f"(SELECT *{exclude}{replaced} FROM {{{name}_copy}})"))
+    return (
+        "SELECT *, CASE WHEN source_columns = shared_columns AND target_columns = shared_columns THEN 'Match' ELSE 'Mismatch' END AS schema_match, "
+        "CASE WHEN source_columns = shared_columns AND target_columns = shared_columns AND same_types = shared_columns THEN 'Match' ELSE 'Equivalent' END AS datatype_match "
+        f"FROM ({' UNION ALL '.join(parts)}) p")
+
+
+_SCHEMA = "source_table target_table source_count target_count source_columns target_columns shared_columns same_types schema_match datatype_match"
+add("column_set_equality", schemas("dim_customer"), _SCHEMA)
+add("recon_schema", schemas("dim_loan", "dim_customer"), _SCHEMA)
+add("recon_dtypes", schemas("dim_payment_schedule", "dim_loan"), _SCHEMA)
 
 # --- scalar functions ---------------------------------------------------------------------------
 
@@ -410,6 +433,10 @@ _PAYMENT_SOURCE = ("source", PAYMENTS)
 add("payment_source", PAYMENTS, S.DIM_PAYMENT_SCHEDULE)
 add("payment_merge", _PAYMENT_MERGE, DIM_PAYMENT, _PAYMENT_SOURCE)
 add("merge_sliced", f"SELECT {SLICE} AS org_slice, op, count(*) AS row_count FROM ({_PAYMENT_MERGE}) m WHERE op <> 'keep' GROUP BY 1, 2", "org_slice op row_count", _PAYMENT_SOURCE)
+add("audit_step_log_slices",
+    "SELECT 'Merge' AS log_type, 'merge slice ' || k || ' dim_payment_schedule' AS log_label, 'Merge succeeded, row count = ' || count(org_slice) AS log_message "
+    f"FROM (VALUES (1), (2), (3), (4)) v(k) LEFT JOIN (SELECT {SLICE} AS org_slice FROM ({_PAYMENT_MERGE}) m WHERE op <> 'keep') m ON org_slice = k GROUP BY k",
+    "log_type log_label log_message", _PAYMENT_SOURCE)
 _ACH = f"LEFT JOIN (SELECT lms_payment_schedule_item_id AS id, max(update_datetime) AS at FROM {{ach_transactions}} GROUP BY 1) x ON x.id = t.{ITEM}"
 _FUNDING = f"LEFT JOIN (SELECT {ITEM} AS id, max(TRY_CAST(return_time AS TIMESTAMP)) AS at FROM {{funding_payment_return}} GROUP BY 1) x ON x.id = t.{ITEM}"
 _FRESH = f"(t.item_date >= {A} OR t.process_timestamp >= {A})"
@@ -522,8 +549,8 @@ add("insurance_plan_merge", _PLAN_MERGE, S.DIM_INSURANCE_PROTECTION_PLAN, *_PLAN
 for _key in ("insurance_status_merge", "merge_full_refresh", "sink_snapshot"):
     add(_key, _STATUS_MERGE, S.DIM_INSURANCE_PROTECTION_PLAN_STATUS, *_STATUS_CTES)
 add("merge_upsert", _STATUS_MERGE, [*S.DIM_INSURANCE_PROTECTION_PLAN_STATUS, "op"], *_STATUS_CTES)
-add("job_dim_insurance", f"SELECT 'plan' AS table_name, op, count(*) AS row_count FROM ({_PLAN_MERGE}) p GROUP BY 2 UNION ALL SELECT 'status', op, count(*) FROM ({_STATUS_MERGE}) s GROUP BY 2",
-    "table_name op row_count", *_PLAN_CTES, *_STATUS_CTES)
+add("job_dim_insurance", f"SELECT 'plan' AS table_name, * FROM ({_PLAN_MERGE}) p UNION ALL BY NAME SELECT 'status' AS table_name, * FROM ({_STATUS_MERGE}) s",
+    ["table_name", "op", *dict.fromkeys([*S.DIM_INSURANCE_PROTECTION_PLAN, *S.DIM_INSURANCE_PROTECTION_PLAN_STATUS])], *_PLAN_CTES, *_STATUS_CTES)
 
 # --- audit -----------------------------------------------------------------------------------------
 
@@ -576,10 +603,7 @@ _PAIRED = f"(SELECT CAST(sum(least(source_rows, target_rows)) AS BIGINT) FROM ({
 add("recon_column_mismatches", " UNION ALL ".join(
     f"SELECT '{c}' AS column_name, {_PAIRED} - (SELECT count(*) FROM (SELECT customer_id, {c} FROM {{dim_customer}} INTERSECT ALL SELECT customer_id, {c} FROM {{dim_customer_copy}}) q) AS mismatched_rows"
     for c in S.DIM_CUSTOMER if c != "customer_id"), "column_name mismatched_rows")
-add("recon_row_count", with_match([counted("1 AS one", "{dim_loan}", "{dim_loan_copy}")]), "source_count target_count count_match")
-add("recon_null_counts", "SELECT *, CASE WHEN source_nulls = target_nulls THEN 'Match' ELSE 'Mismatch' END AS null_match FROM (" + " UNION ALL ".join(
-    f"SELECT '{c}' AS column_name, (SELECT count(*) FROM {{dim_loan}} WHERE {c} IS NULL) AS source_nulls, (SELECT count(*) FROM {{dim_loan_copy}} WHERE {c} IS NULL) AS target_nulls"
-    for c in DIM_LOAN) + ") n", "column_name source_nulls target_nulls null_match")
+
 
 TABLE_COLUMNS = {
     "fct_collection_detail": FCT, "dim_payment_schedule": DIM_PAYMENT, "dim_customer": S.DIM_CUSTOMER,
@@ -589,6 +613,23 @@ TABLE_COLUMNS = {
 }
 
 
+def pair_columns(name: str, key: str) -> str:
+    """Rows of keys on both sides less the values they share, column by column."""
+    paired = f"(SELECT CAST(sum(least(source_rows, target_rows)) AS BIGINT) FROM ({keyed(name, f'{name}_copy', key)}) d)"
+    return " UNION ALL ".join(
+        f"SELECT 'old.{name}' AS source_table, 'dwh.{name}' AS target_table, '{c}' AS column_name, {paired} - (SELECT count(*) FROM (SELECT {key}, {c} FROM {{{name}}} INTERSECT ALL SELECT {key}, {c} FROM {{{name}_copy}}) q) AS mismatched_rows"
+        for c in TABLE_COLUMNS[name] if c != key)
+
+
+add("recon_pair_columns", " UNION ALL ".join(pair_columns(n, key) for n, key in DIMENSION_MAP.items()),
+    "source_table target_table column_name mismatched_rows")
+add("recon_row_count", with_match([counted("1 AS one", "{dim_loan}", "{dim_loan_copy}")]), "source_count target_count count_match")
+add("recon_null_counts", "SELECT *, CASE WHEN source_nulls = target_nulls THEN 'Match' ELSE 'Mismatch' END AS null_match FROM (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, (SELECT count(*) FROM {{dim_loan}} WHERE {c} IS NULL) AS source_nulls, (SELECT count(*) FROM {{dim_loan_copy}} WHERE {c} IS NULL) AS target_nulls"
+    for c in DIM_LOAN) + ") n", "column_name source_nulls target_nulls null_match")
+
+
+
 def summary(name: str) -> str:
     nulls = ", ".join(f"count(*) - count({c})" for c in TABLE_COLUMNS[name])
     return counted(

@@ -171,12 +171,12 @@ def _(t):
 
 @query("sink_snapshot")
 def _(t):
-    path = f"{scratch(t.spark)}/dim_insurance_protection_plan_status"
-    store.write_snapshot(t["dim_insurance_protection_plan_status"], path, NOW)
-    # The second version is computed from the first one.
-    job = insurance.status_job(t, store.read_table(t.spark, path), NOW)
-    store.write_snapshot(job.table, path, NOW)
-    return store.read_table(t.spark, path)
+    house = audit.Warehouse(t.spark, scratch(t.spark))
+    table = "dim_insurance_protection_plan_status"
+    house.write(table, t[table], tuple(insurance.STATUS_KEYS))
+    # The second state is computed from the first one; partitions without a change stay as they are.
+    house.load(table, insurance.status_job(t, house.read(table), NOW))
+    return house.read(table)
 
 
 @query("sink_append")
@@ -382,8 +382,7 @@ def _(t):
 
 @query("anti_count_zero")
 def _(t):
-    headers = t["lms_loan_header"].select(F.col("loan_header_id").cast("string").alias("column_value"))
-    return only_in_left(t["reject_log"], headers, ["column_value"], right_unique=True).select("column_value", "column_name")
+    return loan.without_header(t, t["reject_log"]).select("column_value", "column_name")
 
 
 @query("semi_in_subquery")
@@ -512,18 +511,28 @@ def _(t):
     return loan.staged_interest(t, W)
 
 
-@query("column_set_equality")
-def _(t):
-    return _schema_and_rows(t, "dim_customer", "dim_customer_copy")
+def _altered(t, table: str) -> DataFrame:
+    """A table's copy that lost a column and holds others in another type."""
+    lost, retyped = ALTERED[table]
+    copy = t[f"{table}_copy"]
+    return copy.drop(*lost).withColumns({c: F.col(c).cast("double") for c in retyped})
+
+
+ALTERED = {
+    "dim_customer": (("city",), ()), "dim_loan": (("first_name",), ("loan_amount",)), "dim_payment_schedule": ((), ("amount_fee",)),
+}
+
 
+def _schemas(t, *tables: str) -> DataFrame:
+    """Each table against its copy, and against a copy that was altered."""
+    pairs = []
+    for n in tables:
+        pairs.append(reconcile.TablePair(n, f"{n}_copy", partial(t.__getitem__, n), partial(t.__getitem__, f"{n}_copy")))
+        pairs.append(reconcile.TablePair(n, f"{n}_altered", partial(t.__getitem__, n), partial(_altered, t, n)))
+    return reconcile.reconcile_all(pairs, reconcile.schema_and_rows)
 
-def _schema_and_rows(t, left: str, right: str) -> DataFrame:
-    """The schema report beside the rows it stands for, so it grows with the tables."""
-    counts = reconcile.row_count(t[left], t[right])
-    same, types = reconcile.columns_equal(t[left], t[right]), reconcile.types_equal(t[left], t[right])
-    return counts.select(
-        "source_count", "target_count", F.lit(reconcile.MATCH if same else reconcile.MISMATCH).alias("schema_match"),
-        F.lit(reconcile.MATCH if types else reconcile.EQUIVALENT).alias("datatype_match"))
+
+QUERIES["column_set_equality"] = lambda t: _schemas(t, "dim_customer")
 
 
 # --- scalar functions ---------------------------------------------------------------------------
@@ -757,10 +766,12 @@ QUERIES["insurance_status_merge"] = lambda t: insurance.status_job(t, t["dim_ins
 
 @query("job_dim_insurance")
 def _(t):
-    """Both tables of the job, counted per kind of change."""
-    plans = insurance.plan_job(t, t["dim_insurance_protection_plan"], W, NOW).flagged.select(F.lit("plan").alias("table_name"), F.col(OP).alias("op"))
-    statuses = insurance.status_job(t, t["dim_insurance_protection_plan_status"], NOW).flagged.select(F.lit("status").alias("table_name"), F.col(OP).alias("op"))
-    return plans.unionByName(statuses).groupBy("table_name", "op").agg(F.count(F.lit(1)).alias("row_count"))
+    """The rows of both tables after the job, each with the name of its table and what became of it."""
+    plans = insurance.plan_job(t, t["dim_insurance_protection_plan"], W, NOW).flagged
+    statuses = insurance.status_job(t, t["dim_insurance_protection_plan_status"], NOW).flagged
+    both = plans.withColumn("table_name", F.lit("plan")).unionByName(
+        statuses.withColumn("table_name", F.lit("status")), allowMissingColumns=True)
+    return both.withColumnRenamed(OP, "op")
 
 
 # --- audit -----------------------------------------------------------------------------------------
@@ -795,6 +806,17 @@ def _(t):
     return house.step_log().select("log_type", "log_label", "log_message")
 
 
+@query("audit_step_log_slices")
+def _(t):
+    """The log of the merge of a payment load: a row per tenant slice."""
+    house = audit.Warehouse(t.spark, scratch(t.spark))
+    house.record("etl_job_batches", t["etl_job_batches"])
+    house.write("dim_payment_schedule", t["dim_payment_schedule"], tuple(payment.KEYS))
+    audit.run_job(house, "dim_payment_schedule", 100000000, 3, NOW, lambda w, _: payment.payment_job(
+        t, w.read("dim_payment_schedule"), t["dim_payment_schedule_removed"], W, NOW), appended=("dim_payment_schedule_removed",))
+    return house.step_log().filter("log_type = 'Merge'").select("log_type", "log_label", "log_message")
+
+
 QUERIES["audit_batch_close"] = lambda t: audit.close_batch(t["etl_job_batches"], 42, NOW, True)
 
 
@@ -830,8 +852,8 @@ def _(t):
 # --- reconciliation and rules ----------------------------------------------------------------
 
 QUERIES["recon_row_count"] = lambda t: reconcile.row_count(t["dim_loan"], t["dim_loan_copy"])
-QUERIES["recon_schema"] = lambda t: _schema_and_rows(t, "dim_loan", "dim_loan_copy")
-QUERIES["recon_dtypes"] = lambda t: _schema_and_rows(t, "dim_payment_schedule", "dim_payment_schedule_removed")
+QUERIES["recon_schema"] = lambda t: _schemas(t, "dim_loan", "dim_customer")
+QUERIES["recon_dtypes"] = lambda t: _schemas(t, "dim_payment_schedule", "dim_loan")
 QUERIES["recon_null_counts"] = lambda t: reconcile.null_report(t["dim_loan"], t["dim_loan_copy"])
 QUERIES["recon_data_equal"] = lambda t: reconcile.data_equal(t["dim_payment_schedule_removed"], t["dim_payment_schedule_removed_copy"])
 QUERIES["recon_keyed_diff"] = lambda t: reconcile.keyed_diff(t["fct_collection_detail"], t["fct_collection_detail_copy"], ["collection_id"])
@@ -840,6 +862,7 @@ QUERIES["recon_keyed_diff_schedule"] = lambda t: reconcile.diff_totals(
 QUERIES["recon_column_mismatches"] = lambda t: reconcile.column_mismatches(t["dim_customer"], t["dim_customer_copy"], ["customer_id"])
 QUERIES["recon_summary"] = lambda t: reconcile.reconcile_all(dimension_pairs(t))
 QUERIES["recon_pair_diffs"] = lambda t: reconcile.reconcile_all(dimension_pairs(t), reconcile.pair_diff)
+QUERIES["recon_pair_columns"] = lambda t: reconcile.reconcile_all(dimension_pairs(t), reconcile.pair_columns)
 QUERIES["recon_landing_summary"] = lambda t: reconcile.reconcile_all(landing_pairs(t), reconcile.landing_summary, START, END)
 QUERIES["recon_query_vs_table"] = QUERIES["config_query_vs_table"]
 QUERIES["rule_item_type"] = lambda t: reconcile.check_rules(t["dim_payment_schedule"], rules.payment_rules())

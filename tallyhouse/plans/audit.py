@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -12,7 +14,7 @@ from tallyhouse import values as V
 from tallyhouse.functions.change_window import ChangeWindow, moment
 from tallyhouse.operators.lookup import latest_by
 from tallyhouse.operators.modify import update_where
-from tallyhouse.plans.job import JobResult
+from tallyhouse.plans.job import DELETED, JobResult
 from tallyhouse.sources import store
 
 JOBS = "job_id long, job_name string, is_success int, check_point_start timestamp_ntz, check_point_end timestamp_ntz"
@@ -105,15 +107,17 @@ def state_of(events: DataFrame, schema: str, key: str, end: str) -> DataFrame:
 
 
 class Warehouse:
-    """The tables of one warehouse folder and the control tables beside them.
+    """The tables of one warehouse folder and the control tables beside them. `buckets`: the hash partitions of a keyed
+    table, the same for as long as the folder lives; a partition should hold a few files.
 
     Control tables are logs: jobs only ever add event rows, so jobs that overlap never undo
     each other's, and the state is the last event per batch or job.
     """
 
-    def __init__(self, spark: SparkSession, folder: str):
+    def __init__(self, spark: SparkSession, folder: str, buckets: int = 16):
         self.spark = spark
         self.folder = folder.rstrip("/")
+        self.buckets = buckets
 
     def path(self, table: str) -> str:
         return f"{self.folder}/{table}"
@@ -121,11 +125,29 @@ class Warehouse:
     def read(self, table: str) -> DataFrame:
         return store.read_table(self.spark, self.path(table))
 
-    def version(self, table: str) -> int:
-        return store.current_version(self.spark, self.path(table))
-
-    def write(self, table: str, df: DataFrame, now: str, base: int | None = None) -> None:
-        store.write_snapshot(df, self.path(table), now, base=base)
+    def stage(self, table: str) -> str:
+        """A new folder for rows on their way into a table; it may go once they are there."""
+        return f"{self.folder}/_stage/{table}/{uuid.uuid4().hex}"
+
+    def write(self, table: str, df: DataFrame, keys: tuple[str, ...] = ()) -> None:
+        """A table as a whole, partitioned by its key if it has one."""
+        if keys:
+            store.write_table(df, self.path(table), keys, self.buckets)
+        else:
+            store.replace(df, self.path(table), self.stage(table))
+
+    def load(self, table: str, result: JobResult) -> None:
+        """The next state of a table: what changed is written once, then the partitions that it touches are rewritten."""
+        if not result.keys:
+            self.write(table, result.table)
+            return
+        stage = self.stage(table)
+        result.changes().write.parquet(stage)
+        changes = self.spark.read.parquet(stage)
+        if store.read_if_exists(self.spark, self.path(table)) is None:
+            self.write(table, changes.filter(~F.col(DELETED)).drop(DELETED), result.keys)
+        else:
+            store.apply_changes(self.spark, self.path(table), changes, result.keys, self.buckets, DELETED)
 
     def staged(self, table: str, rows: DataFrame, batch_id: int | None = None) -> DataFrame:
         """Rows that a job reads again, written once to a staging table and read back; logged if a batch is given."""
@@ -170,9 +192,8 @@ def run_job(
 ) -> list[tuple[str, str, int]]:
     """Load the next window of a job: open a batch, write the table, log every step, close.
 
-    Step counts are observed by the write itself. Side tables are written and logged before
-    the main table is committed: those in `appended` grow, those in `staged` are replaced,
-    others get a new version. A failure is logged, closes the batch without moving the
+    Step counts are observed by the write itself, which holds the changed rows alone. Side tables are written and logged before
+    the main table: those in `appended` grow, those in `staged` are replaced, others are replaced by way of a stage. A failure is logged, closes the batch without moving the
     watermark, and is raised again. The steps of the main table run in one plan and share its
     start and end. `clock` stamps log rows and the batch's end; rows of data only hold `now`.
     """
@@ -182,7 +203,6 @@ def run_job(
     warehouse.record("etl_job_batches", opened)
     error, began = None, clock()
     try:
-        base = warehouse.version(table)
         result = job(warehouse, window)
         for name, rows in result.appends.items():
             began = clock()
@@ -193,13 +213,12 @@ def run_job(
             elif name in staged:
                 store.truncate_load(watched, warehouse.path(name))
             else:
-                warehouse.write(name, watched, now)
+                warehouse.write(name, watched)
             written = step_rows(spark, batch_id, name, [("write", kind, watch.get["rows"])], began, clock())
             warehouse.record("etl_step_log", written)
         began = clock()
         observation = Observation(table)
-        watched = JobResult(result.flagged.observe(observation, *result.step_counts()), result.columns, result.steps)
-        warehouse.write(table, watched.table, now, base)
+        warehouse.load(table, replace(result, flagged=result.flagged.observe(observation, *result.step_counts())))
         counts = [(step.name, step.kind, observation.get[step.name]) for step in result.steps]
         warehouse.record("etl_step_log", step_rows(spark, batch_id, table, counts, began, clock()))
         return counts

@@ -211,4 +211,5 @@ def collection_job(
         )
     corrected, updates = correct_collections(landing, flagged, window, now, parity, purged=True)
     kept = [Step(s.name, s.kind, s.counts & ~F.col(DELETED)) for s in update_steps(updates)]
-    return JobResult(corrected, target.columns, (merge_step(), Step("purge", "Delete", F.col(DELETED)), *kept))
+    steps = (merge_step(), Step("purge", "Delete", F.col(DELETED)), *kept)
+    return JobResult(corrected, target.columns, steps, keys=tuple(KEYS))

@@ -45,4 +45,4 @@ def customer_job(landing: Tables, target: DataFrame, now: str, small_source: boo
         target, customer_source(landing, now), KEYS, S.INSERT_ONLY["dim_customer"],
         small_source=small_source, op_column=OP,
     )
-    return JobResult(merged, target.columns, (merge_step(),))
+    return JobResult(merged, target.columns, (merge_step(),), keys=tuple(KEYS))

@@ -58,7 +58,7 @@ def plan_job(landing: Tables, target: DataFrame, window: ChangeWindow, now: str,
         target, plan_join(landing, window, now), PLAN_KEYS, on_duplicate="latest",
         order_by=["status_log_id"], small_source=small_source, op_column=OP,
     )
-    return JobResult(merged, target.columns, (merge_step(),))
+    return JobResult(merged, target.columns, (merge_step(),), keys=tuple(PLAN_KEYS))
 
 
 def status_job(landing: Tables, target: DataFrame, now: str, small_source: bool = False) -> JobResult:
@@ -67,4 +67,4 @@ def status_job(landing: Tables, target: DataFrame, now: str, small_source: bool
         target, status_source(landing, now), STATUS_KEYS, on_duplicate="latest",
         order_by=["protection_plan_status_log_id"], small_source=small_source, op_column=OP,
     )
-    return JobResult(merged, target.columns, (merge_step(),))
+    return JobResult(merged, target.columns, (merge_step(),), keys=tuple(STATUS_KEYS))

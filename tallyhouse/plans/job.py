@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,18 +29,29 @@ class Step:
 
 @dataclass(frozen=True)
 class JobResult:
-    """`flagged` holds every row, deleted ones included, with the step columns."""
+    """`flagged` holds every row, deleted ones included, with the step columns.
+
+    `keys`: what tells its rows apart; a job without them has its table replaced as a whole.
+    """
 
     flagged: DataFrame
     columns: list[str]
     steps: tuple[Step, ...]
     appends: dict[str, DataFrame] = field(default_factory=dict)
+    keys: tuple[str, ...] = ()
 
     @property
     def table(self) -> DataFrame:
         rows = self.flagged.filter(~F.col(DELETED)) if DELETED in self.flagged.columns else self.flagged
         return rows.select(*self.columns)
 
+    def changes(self) -> DataFrame:
+        """The rows that a step touched, with the flag of deleted ones."""
+        touched = [F.coalesce(step.counts, F.lit(False)) for step in self.steps]
+        gone = F.coalesce(F.col(DELETED), F.lit(False)) if DELETED in self.flagged.columns else F.lit(False)
+        rows = self.flagged.filter(reduce(or_, touched))
+        return rows.select(*self.columns, gone.alias(DELETED))
+
     def step_counts(self) -> list[Column]:
         """One aggregate per step, for an observation on the plan that writes the table."""
         return [F.count_if(step.counts).alias(step.name) for step in self.steps]

@@ -312,18 +312,41 @@ def _about_headers():
     return (F.col("table_name") == V.ORPHAN_TABLE) & (F.col("column_name") == V.ORPHAN_COLUMN)
 
 
+LOGGED_ID = "_logged_id"
+
+
+def logged_headers(reject_log: DataFrame) -> DataFrame:
+    """The log with the header id each row names as a number; null where its text is not that of one."""
+    number = F.col("column_value").try_cast("bigint")
+    return reject_log.withColumn(LOGGED_ID, F.when(number.cast("string") == F.col("column_value"), number))
+
+
+def mark_logged(logged: DataFrame, table: DataFrame, flag: str) -> DataFrame:
+    """`logged` with a flag telling whether `table` has the header.
+
+    The table's ids are cut down to those of the log before anything is shuffled: a log below the broadcast limit
+    leaves a table of any size where it is.
+    """
+    known = logged.select(F.col(LOGGED_ID).alias("loan_header_id")).filter(F.col(LOGGED_ID).isNotNull()).distinct()
+    met = only_in_both(table.select("loan_header_id"), known, ["loan_header_id"], right_unique=True)
+    return mark_present(logged, met.select(F.col("loan_header_id").alias(LOGGED_ID)), [LOGGED_ID], flag)
+
+
+def without_header(landing: Tables, reject_log: DataFrame) -> DataFrame:
+    """The rows of the log whose header is gone."""
+    marked = mark_logged(logged_headers(reject_log), landing["lms_loan_header"], "_header")
+    return marked.filter(~F.col("_header")).select(*reject_log.columns)
+
+
 def resolve_rejects(landing: Tables, reject_log: DataFrame, now: str, parity: bool = False) -> DataFrame:
     """Mark logged headers as fixed once the header is gone, or a base loan has arrived.
 
     `parity` looks at the header alone and stamps rows that are fixed already again.
     """
-    def ids(table: str) -> DataFrame:
-        return landing[table].select(F.col("loan_header_id").cast("string").alias("column_value"))
-
-    marked = mark_present(reject_log, ids("lms_loan_header"), ["column_value"], "_header")
+    marked = mark_logged(logged_headers(reject_log), landing["lms_loan_header"], "_header")
     fixed = ~F.col("_header")
     if not parity:
-        marked = mark_present(marked, ids("lms_base_loans"), ["column_value"], "_loan")
+        marked = mark_logged(marked, landing["lms_base_loans"], "_loan")
         fixed = (fixed | F.col("_loan")) & (F.coalesce("is_fixed", F.lit(0)) != 1)
     changes = {"is_fixed": F.lit(1), "fixed_date": F.lit(now).cast("timestamp_ntz").cast("date")}
     return update_where(marked, _about_headers() & fixed, changes).select(*reject_log.columns)
@@ -351,4 +374,4 @@ def loan_job(
     side = {"reject_log": append_rows(resolved, orphans)}
     if rates is None:
         side["stg_loan_interest_pct"] = staged_interest(landing, window, parity)
-    return JobResult(flagged, target.columns, (merge_step(), *update_steps(updates)), side)
+    return JobResult(flagged, target.columns, (merge_step(), *update_steps(updates)), side, tuple(KEYS))

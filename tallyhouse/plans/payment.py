@@ -14,7 +14,7 @@ from tallyhouse.operators.correct import Attach, Update, apply_updates, attach_l
 from tallyhouse.operators.lookup import eav
 from tallyhouse.operators.modify import merge_upsert
 from tallyhouse.operators.presence import only_in_left
-from tallyhouse.plans.job import DELETED, merge_step, merged_rows, OP, JobResult, Step, Tables, update_steps
+from tallyhouse.plans.job import DELETED, merged_rows, OP, JobResult, Step, Tables, update_steps
 from tallyhouse.sources import schemas as S
 
 KEYS = ["payment_schedule_item_id"]
@@ -61,6 +61,12 @@ def merged_per_slice(merged: DataFrame) -> DataFrame:
     )
 
 
+def merge_steps() -> tuple[Step, ...]:
+    """The merge as one logged step per tenant slice; slices never overlap, so one plan counts them all."""
+    return tuple(
+        Step(f"merge slice {k}", "Merge", merged_rows() & (C.org_slice("organization_id") == k)) for k in V.ORG_SLICES)
+
+
 # --- corrections ------------------------------------------------------------------------
 
 def ach_returns(landing: Tables) -> DataFrame:
@@ -176,6 +182,6 @@ def payment_job(
     gone, _ = correct_payments(landing, removed_items(landing, target, archive, window, parity), window)
     return JobResult(
         flagged, target.columns,
-        (merge_step(), *update_steps(updates), Step("delete_removed", "Delete", F.col(DELETED))),
-        {"dim_payment_schedule_removed": gone.select(*target.columns)},
+        (*merge_steps(), *update_steps(updates), Step("delete_removed", "Delete", F.col(DELETED))),
+        {"dim_payment_schedule_removed": gone.select(*target.columns)}, tuple(KEYS),
     )

@@ -60,20 +60,38 @@ def row_count(source: DataFrame, target: DataFrame) -> DataFrame:
     return counts.withColumn("count_match", status(F.col("source_count") == F.col("target_count")))
 
 
-def columns_equal(source: DataFrame, target: DataFrame) -> bool:
-    return set(plain_names(source).columns) == set(plain_names(target).columns)
+def schema_rows(df: DataFrame, side: str) -> DataFrame:
+    """(column_name, <side>_type) of a table, its schema as data."""
+    fields = [(name, dtype) for name, dtype in plain_names(df).dtypes]
+    return df.sparkSession.createDataFrame(fields, f"column_name string, {side}_type string")
 
 
-def types_equal(source: DataFrame, target: DataFrame) -> bool:
-    return sorted(plain_names(source).dtypes) == sorted(plain_names(target).dtypes)
+def schema_diff(source: DataFrame, target: DataFrame) -> DataFrame:
+    """(column_name, source_type, target_type): every column of either table; a type is null where the column is missing."""
+    return schema_rows(source, "source").join(schema_rows(target, "target"), "column_name", "full")
 
 
 def schema_report(source: DataFrame, target: DataFrame) -> DataFrame:
-    """One row: do the column sets match, are the types the same or only equivalent."""
-    return source.sparkSession.range(1).select(
-        F.lit(MATCH if columns_equal(source, target) else MISMATCH).alias("schema_match"),
-        F.lit(MATCH if types_equal(source, target) else EQUIVALENT).alias("datatype_match"),
+    """One row: how many columns each table has and they share, do the sets match, are the types the same or only equivalent.
+
+    Types of shared columns decide on equivalence; a column on one side alone is a mismatch of the schema.
+    """
+    shared = F.col("source_type").isNotNull() & F.col("target_type").isNotNull()
+    counts = schema_diff(source, target).agg(
+        F.count("source_type").alias("source_columns"), F.count("target_type").alias("target_columns"),
+        F.count_if(shared).alias("shared_columns"), F.count_if(shared & (F.col("source_type") == F.col("target_type"))).alias("same_types"),
     )
+    all_shared = (F.col("shared_columns") == F.col("source_columns")) & (F.col("shared_columns") == F.col("target_columns"))
+    all_same = all_shared & (F.col("same_types") == F.col("shared_columns"))
+    return counts.withColumns({
+        "schema_match": status(all_shared), "datatype_match": F.when(all_same, MATCH).otherwise(EQUIVALENT)})
+
+
+def schema_and_rows(pair: TablePair, source: DataFrame, target: DataFrame) -> DataFrame:
+    """The schema report of a pair beside the counts of its rows."""
+    counts = row_count(source, target).drop("count_match")
+    return counts.crossJoin(schema_report(source, target)).select(
+        F.lit(pair.source_name).alias("source_table"), F.lit(pair.target_name).alias("target_table"), "*")
 
 
 def null_counts(df: DataFrame, count_name: str) -> DataFrame:
@@ -90,19 +108,39 @@ def null_report(source: DataFrame, target: DataFrame) -> DataFrame:
 
 # --- row content -----------------------------------------------------------------------------
 
-def row_copies(source: DataFrame, target: DataFrame) -> DataFrame:
-    """Distinct rows of both sides with their number of copies in each."""
+DIGEST = ["_a", "_b"]
+
+
+def _row_hash(columns: Sequence[str], seed: int) -> Column:
+    """A 64-bit hash of a row. A null leaves a hash unchanged, so whether each column is null is hashed too."""
+    cells = ", ".join(f"`{c}`, `{c}` IS NULL" for c in columns)
+    return F.expr(f"xxhash64({seed}, {cells})")
+
+
+def _digested(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    return df.withColumns({name: _row_hash(columns, seed) for seed, name in enumerate(DIGEST, 1)})
+
+
+def digest_copies(source: DataFrame, target: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """(keys, 128 bits of each distinct row, its copies in the source `_src` and in the target `_tgt`).
+
+    Rows take part by their digest, so no exchange carries their values; copies are summed in every task first. Two rows that
+    differ share a digest with a chance of 2^-128.
+    """
     source, target = aligned(source, target)
     names = source.columns
-    tagged = source.withColumns({"_src": F.lit(1), "_tgt": F.lit(0)}).unionByName(
-        target.withColumns({"_src": F.lit(0), "_tgt": F.lit(1)})
-    )
-    return tagged.groupBy(*names).agg(F.sum("_src").alias("_src"), F.sum("_tgt").alias("_tgt"))
+
+    def side(df: DataFrame, src: int) -> DataFrame:
+        slim = _digested(df, names).select(*keys, *DIGEST)
+        return slim.withColumns({"_src": F.lit(src), "_tgt": F.lit(1 - src)})
+
+    tagged = side(source, 1).unionByName(side(target, 0))
+    return tagged.groupBy(*keys, *DIGEST).agg(F.sum("_src").alias("_src"), F.sum("_tgt").alias("_tgt"))
 
 
 def data_equal(source: DataFrame, target: DataFrame) -> DataFrame:
-    """Exact comparison of the row multisets."""
-    differing = row_copies(source, target).agg(F.count_if(F.col("_src") != F.col("_tgt")).alias("differing_rows"))
+    """Comparison of the row multisets."""
+    differing = digest_copies(source, target).agg(F.count_if(F.col("_src") != F.col("_tgt")).alias("differing_rows"))
     return differing.withColumn("data_match", status(F.col("differing_rows") == 0))
 
 
@@ -111,7 +149,7 @@ def keyed_diff(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> Dat
 
     Keys may repeat: equal rows of a key are paired first, the rest as far as both sides go.
     """
-    per_key = row_copies(source, target).groupBy(*keys).agg(
+    per_key = digest_copies(source, target, keys).groupBy(*keys).agg(
         F.sum("_src").alias("source_rows"), F.sum("_tgt").alias("target_rows"),
         F.sum(F.least("_src", "_tgt")).alias("equal_rows"),
     )
@@ -123,25 +161,53 @@ def keyed_diff(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> Dat
     })
 
 
+def differing_rows(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows of one side that the other lacks, whole: all columns, surplus copies `_src` or `_tgt`, and of their key
+    how many there are on each side, `_key_src` and `_key_tgt`.
+
+    Digests cancel first; whole rows are fetched for the rest alone.
+    """
+    left, right = aligned(source, target)
+    names = left.columns
+    equal = F.least("_src", "_tgt")
+    copies = digest_copies(source, target, keys).filter(F.col("_src") != F.col("_tgt"))
+    rest = copies.select(*keys, *DIGEST, (F.col("_src") - equal).alias("_src"), (F.col("_tgt") - equal).alias("_tgt"))
+    per_key = rest.groupBy(*keys).agg(F.sum("_src").alias("_key_src"), F.sum("_tgt").alias("_key_tgt"))
+    same_key = reduce(lambda a, b: a & b, [F.col(f"r.{k}").eqNullSafe(F.col(f"k.{k}")) for k in keys])
+    marked = rest.alias("r").join(per_key.alias("k"), same_key).select(
+        *DIGEST, "r._src", "r._tgt", "k._key_src", "k._key_tgt")
+
+    def whole(df: DataFrame, surplus: str) -> DataFrame:
+        own = marked.filter(F.col(surplus) > 0)
+        return _digested(df, names).join(own, DIGEST).dropDuplicates(DIGEST).drop(*DIGEST)
+
+    return whole(left, "_src").unionByName(whole(right, "_tgt"))
+
+
 def column_mismatches(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Per column, rows present on both sides of a key whose value has no counterpart there.
 
-    Equal rows cancel first, so only rows that differ are spread over their columns.
+    Where a key has one differing row on each side, the two are compared column by column in one pass; only the rows of keys
+    with several are spread over their columns.
     """
-    copies = row_copies(source, target)
-    others = [c for c in copies.columns if c not in (*keys, "_src", "_tgt")]
-    equal = F.least("_src", "_tgt")
-    rest = copies.filter(F.col("_src") != F.col("_tgt")).select(
-        *keys, *[F.col(c).cast("string").alias(c) for c in others],
-        (F.col("_src") - equal).alias("_src"), (F.col("_tgt") - equal).alias("_tgt"),
-    )
-    cells = rest.unpivot([*keys, "_src", "_tgt"], others, "column_name", "_value")
+    rest = differing_rows(source, target, keys)
+    others = [c for c in rest.columns if c not in (*keys, "_src", "_tgt", "_key_src", "_key_tgt")]
+    single = (F.col("_key_src") == 1) & (F.col("_key_tgt") == 1)
+    pairs = rest.filter(single).groupBy(*keys).agg(*[
+        F.max_by(F.struct(*others), side).alias(side) for side in ("_src", "_tgt")])
+    counted = pairs.agg(*[F.count_if(~F.col(f"_src.`{c}`").eqNullSafe(F.col(f"_tgt.`{c}`"))).alias(c) for c in others])
+    of_pairs = counted.unpivot([], others, "column_name", "mismatched_rows")
+
+    several = rest.filter(~single & (F.col("_key_src") > 0) & (F.col("_key_tgt") > 0)).select(
+        *keys, *[F.col(c).cast("string").alias(c) for c in others], "_src", "_tgt")
+    cells = several.unpivot([*keys, "_src", "_tgt"], others, "column_name", "_value")
     values = cells.groupBy(*keys, "column_name", "_value").agg(F.sum("_src").alias("_src"), F.sum("_tgt").alias("_tgt"))
     per_key = values.groupBy(*keys, "column_name").agg(
         F.sum("_src").alias("_src"), F.sum("_tgt").alias("_tgt"), F.sum(F.least("_src", "_tgt")).alias("_same")
     )
     mismatched = F.least("_src", "_tgt") - F.col("_same")
-    return per_key.groupBy("column_name").agg(F.sum(mismatched).alias("mismatched_rows"))
+    of_several = per_key.groupBy("column_name").agg(F.sum(mismatched).alias("mismatched_rows"))
+    return of_pairs.unionByName(of_several).groupBy("column_name").agg(F.sum("mismatched_rows").alias("mismatched_rows"))
 
 
 def diff_totals(diff: DataFrame) -> DataFrame:
@@ -180,12 +246,8 @@ class TablePair:
 
 
 def _fingerprint(df: DataFrame, seed: int) -> Column:
-    """A sum of row hashes, equal for equal multisets of rows in any order.
-
-    A null leaves a hash unchanged, so whether each column is null is hashed too.
-    """
-    cells = ", ".join(f"`{c}`, `{c}` IS NULL" for c in df.columns)
-    return F.expr(f"sum(CAST(xxhash64({seed}, {cells}) AS decimal(38,0)))")
+    """A sum of row hashes, equal for equal multisets of rows in any order."""
+    return F.sum(_row_hash(df.columns, seed).cast("decimal(38,0)"))
 
 
 def _profile(df: DataFrame) -> DataFrame:
@@ -202,8 +264,6 @@ def pair_summary(pair: TablePair, source: DataFrame, target: DataFrame) -> DataF
     Each side is scanned once and nothing is shuffled but one row per task: the row
     content is compared by two 64-bit sums over all rows. `data_equal` compares exactly.
     """
-    schema = MATCH if columns_equal(source, target) else MISMATCH
-    dtypes = MATCH if types_equal(source, target) else EQUIVALENT
     left, right = aligned(source, target)
     sides = _profile(left).withColumn("side", F.lit("source")).unionByName(
         _profile(right).withColumn("side", F.lit("target"))
@@ -213,11 +273,11 @@ def pair_summary(pair: TablePair, source: DataFrame, target: DataFrame) -> DataF
         return F.max(F.when(F.col("side") == side, F.col(name)))
 
     both = sides.agg(*[of(s, n).alias(f"{s}_{n}") for s in ("source", "target") for n in ("rows", "nulls", "content")])
-    return both.select(
+    return both.crossJoin(schema_report(source, target)).select(
         F.lit(pair.source_name).alias("source_table"), F.lit(pair.target_name).alias("target_table"),
         F.col("source_rows").alias("source_count"), F.col("target_rows").alias("target_count"),
         status(F.col("source_rows") == F.col("target_rows")).alias("count_match"),
-        F.lit(schema).alias("schema_match"), F.lit(dtypes).alias("datatype_match"),
+        "schema_match", "datatype_match",
         status(F.col("source_nulls") == F.col("target_nulls")).alias("null_match"),
         status(F.col("source_content").eqNullSafe(F.col("target_content"))).alias("data_match"),
     )
@@ -225,10 +285,9 @@ def pair_summary(pair: TablePair, source: DataFrame, target: DataFrame) -> DataF
 
 def landing_summary(pair: TablePair, source: DataFrame, target: DataFrame) -> DataFrame:
     """Counts and column names only."""
-    schema = MATCH if columns_equal(source, target) else MISMATCH
-    return row_count(source, target).select(
+    return row_count(source, target).crossJoin(schema_report(source, target)).select(
         F.lit(pair.source_name).alias("source_table"), F.lit(pair.target_name).alias("target_table"),
-        "source_count", "target_count", "count_match", F.lit(schema).alias("schema_match"),
+        "source_count", "target_count", "count_match", "schema_match",
     )
 
 
@@ -237,6 +296,12 @@ def count_summary(pair: TablePair, source: DataFrame, target: DataFrame) -> Data
     return row_count(source, target).select(F.lit(pair.target_name).alias("target_table"), "source_count", "target_count", "count_match")
 
 
+def pair_columns(pair: TablePair, source: DataFrame, target: DataFrame) -> DataFrame:
+    """Per column of a pair, how many rows of keys on both sides differ in it."""
+    found = column_mismatches(source, target, pair.keys)
+    return found.select(F.lit(pair.source_name).alias("source_table"), F.lit(pair.target_name).alias("target_table"), "*")
+
+
 def pair_diff(pair: TablePair, source: DataFrame, target: DataFrame) -> DataFrame:
     """How many keys and rows of a pair are equal, differing or on one side only."""
     totals = diff_totals(keyed_diff(source, target, pair.keys))

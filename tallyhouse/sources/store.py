@@ -1,30 +1,24 @@
-"""Versioned parquet tables in a shared folder.
-
-A table is a folder of versions and a small commit log. Each write goes to a folder of its
-own and becomes current by the file of its number in the log, which only one writer can
-create, so readers never see half a table, a failed write leaves the old version current,
-two writers never share a folder, and a job may read the table it replaces. Creating a file
-only where there is none is atomic on HDFS and local disks; on an object store the file
-system's connector has to give that, or one writer per table must be ensured by the caller.
+"""Parquet tables in a shared folder, written by Spark's own writers.
+
+A keyed table is partitioned by a hash of its key. A load writes the rows it changed to a folder of their own, and then
+rewrites only the partitions that hold one of them, by dynamic partition overwrite: files of other partitions stay as they
+are, and a load that stops halfway is finished by applying the same changes again. Rows deleted by the last rewrite of a
+partition stay in it, marked, so that no partition becomes empty (an empty one would not replace the old one); readers do
+not see them. One job writes a table at a time; a reader meanwhile may see some partitions before and some after the load.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
-from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.operators.modify import merge_upsert
+from tallyhouse.functions.cleaning import all_of
 
 BUCKET = "_bucket"
-
-
-class StaleVersion(RuntimeError):
-    """Another writer has committed since the table was read."""
+GONE = "_gone"
 
 
 def read_if_exists(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame | None:
@@ -38,96 +32,14 @@ def read_if_exists(spark: SparkSession, path: str, schema: str | None = None) ->
         raise
 
 
-def _files(spark: SparkSession, path: str):
-    """The file system of a path, and the path as it takes it."""
-    jvm = spark.sparkContext._jvm
-    place = jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
-
-
-def _commits(spark: SparkSession, path: str) -> list[tuple[int, str]]:
-    """(number, name of the commit file) by number. A name is `number`, and the log holds one file per kept version."""
-    fs, log = _files(spark, f"{path}/commits")
-    if not fs.exists(log):
-        return []
-    return sorted((int(f.getPath().getName()), f.getPath().toString()) for f in fs.listStatus(log))
-
-
-def _folder_of(spark: SparkSession, commit: str) -> str | None:
-    """The folder a commit names (its second line is the time); None where the writer was lost before it named one."""
-    row = spark.read.text(commit).first()
-    return row[0] if row else None
-
-
-def current_version(spark: SparkSession, path: str) -> int:
-    """Number of the last commit, 0 where there is none."""
-    commits = _commits(spark, path)
-    return commits[-1][0] if commits else 0
-
-
-def current_folder(spark: SparkSession, path: str) -> str | None:
-    for _, commit in reversed(_commits(spark, path)):
-        if folder := _folder_of(spark, commit):
-            return f"{path}/{folder}"
-    return None
-
-
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    folder = current_folder(spark, path)
-    if folder is None:
-        raise FileNotFoundError(f"no committed version of {path}")
-    return spark.read.parquet(folder)
-
-
-def write_snapshot(df: DataFrame, path: str, now: str, partition_by: Sequence[str] = (), base: int | None = None) -> str:
-    """Write the next version of a table and make it current; returns its folder.
-
-    `base` is the version `df` was computed from, the current one if it is not given. Where
-    another writer has committed since, the commit is refused and the table stays as that
-    writer left it.
-    """
-    spark = df.sparkSession
-    base = current_version(spark, path) if base is None else base
-    name = f"version-{base + 1:06d}-{uuid.uuid4().hex}"
-    writer = df.write
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(f"{path}/{name}")
-    fs, commit = _files(spark, f"{path}/commits/{base + 1:06d}")
-    if current_version(spark, path) != base:
-        raise StaleVersion(f"{path} is no longer at version {base}")
-    try:
-        out = fs.create(commit, False)
-    except Py4JJavaError as error:
-        raise StaleVersion(f"{path} is no longer at version {base}") from error
-    out.write(bytearray(f"{name}\n{now}\n".encode()))
-    out.close()
-    return f"{path}/{name}"
-
-
-def retain(spark: SparkSession, path: str, versions: int) -> list[int]:
-    """Remove all but the last `versions` committed versions; returns the numbers of those removed.
-
-    Call it when no reader of an older version and no writer is at work. Folders that no
-    commit names, left over from failed writes, go too.
-    """
-    if versions < 1:
-        raise ValueError("a table keeps one version at least")
-    named = [(number, commit, _folder_of(spark, commit)) for number, commit in _commits(spark, path)]
-    kept = [number for number, _, folder in named if folder][-versions:]
-    if not kept:
-        return []
-    gone = [row for row in named if row[0] < kept[0]]
-    folders = {folder for number, _, folder in named if number >= kept[0]}
-    for _, commit, _ in gone:
-        fs, place = _files(spark, commit)
-        fs.delete(place, False)
-    fs, table = _files(spark, path)
-    for status in fs.listStatus(table):
-        name = status.getPath().getName()
-        if name.startswith("version-") and name not in folders:
-            fs.delete(status.getPath(), True)
-    return [number for number, _, folder in gone if folder]
+    """The rows of a table, without those marked as gone."""
+    table = read_if_exists(spark, path)
+    if table is None:
+        raise FileNotFoundError(f"no table at {path}")
+    if GONE in table.columns:
+        table = table.filter(~F.col(GONE))
+    return table.drop(BUCKET, GONE)
 
 
 def append(df: DataFrame, path: str) -> None:
@@ -140,36 +52,44 @@ def truncate_load(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-# --- bucketed tables -----------------------------------------------------------------------
+def replace(df: DataFrame, path: str, stage: str) -> None:
+    """Replace a table by rows that may be computed from it: they are written to the folder `stage` first."""
+    df.write.mode("overwrite").parquet(stage)
+    df.sparkSession.read.schema(df.schema).parquet(stage).write.mode("overwrite").parquet(path)
+
+
+# --- keyed tables --------------------------------------------------------------------------
 
 def bucket_of(keys: Sequence[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in keys]), F.lit(buckets)).cast("int")
 
 
-def write_bucketed(df: DataFrame, path: str, keys: Sequence[str], buckets: int) -> None:
-    """A table partitioned by a hash of its key, one file per bucket."""
-    bucketed = df.withColumn(BUCKET, bucket_of(keys, buckets))
-    bucketed.repartition(BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(path)
+def _write(df: DataFrame, path: str, option: str) -> None:
+    # Rebalanced by bucket: rows of a bucket meet, and adaptive execution splits a bucket that is too large for one file.
+    writer = df.hint("rebalance", BUCKET).write.mode("overwrite").option("partitionOverwriteMode", option)
+    writer.partitionBy(BUCKET).parquet(path)
+
+
+def write_table(df: DataFrame, path: str, keys: Sequence[str], buckets: int) -> None:
+    """A whole table partitioned by a hash of its key; it must not be computed from the table it replaces."""
+    _write(df.withColumns({GONE: F.lit(False), BUCKET: bucket_of(keys, buckets)}), path, "static")
 
 
-def merge_bucketed(
-    spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str], buckets: int, stage: str,
-    insert_only: Sequence[str] = (), on_duplicate: str = "error", order_by: Sequence[str] = (),
+def apply_changes(
+    spark: SparkSession, path: str, changes: DataFrame, keys: Sequence[str], buckets: int, gone: str | None = None
 ) -> list[int]:
-    """Merge an increment, reading and rewriting only the buckets it touches.
+    """Put changed rows in the place of the rows with their key; returns the partitions rewritten.
 
-    The new buckets are staged first and then replace the old ones, because a table
-    cannot be overwritten while it is read. At most `buckets` numbers reach the driver.
+    `changes` is a written table, one row per key, with the table's columns; rows whose flag `gone` is set are deleted. At
+    most `buckets` numbers reach the driver. Applying the same changes again changes nothing.
     """
-    source = source.withColumn(BUCKET, bucket_of(keys, buckets))
-    touched = sorted(row[0] for row in source.select(BUCKET).distinct().collect())
+    table = spark.read.parquet(path)
+    flag = F.coalesce(F.col(gone), F.lit(False)) if gone else F.lit(False)
+    new = changes.withColumns({GONE: flag, BUCKET: bucket_of(keys, buckets)}).select(*table.columns)
+    touched = sorted(row[0] for row in new.select(BUCKET).distinct().collect())
     if not touched:
         return []
-    target = spark.read.parquet(path).filter(F.col(BUCKET).isin(touched))
-    merged = merge_upsert(target, source, keys, insert_only, on_duplicate, order_by)
-    merged.repartition(BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(stage)
-    (
-        spark.read.parquet(stage).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(BUCKET).parquet(path)
-    )
+    t, n = table.filter(F.col(BUCKET).isin(touched) & ~F.col(GONE)).alias("t"), new.select(*keys).alias("n")
+    kept = t.join(n, all_of([F.col(f"t.{k}").eqNullSafe(F.col(f"n.{k}")) for k in keys]), "left_anti")
+    _write(kept.unionByName(new), path, "dynamic")
     return touched

@@ -1,7 +1,7 @@
 """Keyed upsert of landing files as they arrive.
 
-The load jobs are incremental batches; this runs the same merge from a file stream, one
-table version per micro-batch.
+The load jobs are incremental batches; this runs the same merge from a file stream. A micro-batch rewrites the partitions
+of the table that it touches.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from tallyhouse.operators.lookup import dedupe_latest
 from tallyhouse.operators.modify import merge_upsert
 from tallyhouse.operators.presence import only_in_both
 from tallyhouse.sources import store
@@ -30,8 +31,8 @@ def not_late(batch: DataFrame, target: DataFrame, keys: Sequence[str], order_by:
 
 
 def upsert_stream(
-    stream: DataFrame, table_path: str, checkpoint: str, keys: Sequence[str], order_by: Sequence[str], now: str,
-    insert_only: Sequence[str] = (),
+    stream: DataFrame, table_path: str, checkpoint: str, keys: Sequence[str], order_by: Sequence[str],
+    insert_only: Sequence[str] = (), buckets: int = 16,
 ) -> StreamingQuery:
     """Merge each micro-batch into the table and stop when the files at hand are done.
 
@@ -42,12 +43,15 @@ def upsert_stream(
     """
     def merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        if store.current_version(spark, table_path):
-            target = store.read_table(spark, table_path)
-        else:
-            target = batch.limit(0)
-        merged = merge_upsert(target, not_late(batch, target, keys, order_by), keys, insert_only, on_duplicate="latest", order_by=order_by, small_source=True)
-        store.write_snapshot(merged, table_path, now)
+        if store.read_if_exists(spark, table_path) is None:
+            store.write_table(dedupe_latest(batch, keys, order_by), table_path, keys, buckets)
+            return
+        target = store.read_table(spark, table_path)
+        fresh = not_late(batch, target, keys, order_by)
+        merged = merge_upsert(only_in_both(target, fresh, keys), fresh, keys, insert_only, on_duplicate="latest", order_by=order_by)
+        stage = f"{checkpoint}/changes/batch={batch_id}"
+        store.truncate_load(merged, stage)
+        store.apply_changes(spark, table_path, spark.read.schema(merged.schema).parquet(stage), keys, buckets)
 
     return (
         stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -30,3 +30,5 @@ ITEM_TYPES = ("C", "D")
 NUMERIC_TEXT = "^[0-9.]+$"
 NUMERIC_FIRST_CHARACTER = "^[0-9.]$"
 ERROR_TEXT_LENGTH = 500
+# Tenant slices that a payment load merges and logs one by one.
+ORG_SLICES = (1, 2, 3, 4)

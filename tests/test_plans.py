@@ -1,7 +1,11 @@
 """The defective or surprising rules of the load jobs, on a few rows each."""
 
+import re
+from collections import Counter
+
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from tallyhouse.functions.change_window import ChangeWindow
 from tallyhouse.plans import collection, customer, insurance, loan, payment
@@ -151,6 +155,73 @@ def test_the_latest_of_several_landing_rows_counts(tables):
     assert rows(corrected(t), "loan_amount") == [("5.00",)]
 
 
+def scans(df):
+    """How often a plan reads each table."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return Counter(re.findall(r"/written/(\w+)", df._jdf.queryExecution().executedPlan().toString())), plan
+
+
+@pytest.fixture
+def written(spark, tables, folder):
+    """Every landing and target table as files, so that plans show what they read."""
+    class Written(dict):
+        def __missing__(self, name):
+            path = f"{folder}/written/{name}"
+            tables[name].write.parquet(path)
+            self[name] = spark.read.parquet(path)
+            return self[name]
+
+    return Written()
+
+
+def test_the_loan_job_reads_each_table_once(spark, written):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        rates = written["rates_of"] = spark.createDataFrame([(1, "0.1")], "base_loan_id long, loan_interest_pct string")
+        job = loan.loan_job(written, written["dim_loan"], written["reject_log"], W, NOW, rates=rates)
+        read, _ = scans(job.table)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert read["dim_loan"] == read["lms_base_loans"] == 1 and read["lms_loan_header"] == 2
+    assert max(n for name, n in read.items() if name != "lms_loan_header") == 1 and "loc_fee_structure" not in read
+    assert "stg_loan_interest_pct" not in job.appends
+
+
+def test_the_collection_job_reads_items_once(spark, written):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        read, _ = scans(collection.collection_job(written, written["fct_collection_detail"], W, NOW).table)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert read["lms_payment_schedule_items"] == read["lms_payment_schedules"] == read["lms_base_loans"] == 1
+
+
+def test_a_reject_log_leaves_landing_where_it_is(spark, written):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = loan.resolve_rejects(written, written["reject_log"], NOW)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert "BroadcastHashJoin" in plan and "LeftSemi" in plan and "loan_header_id#" in plan
+    assert not re.search(r"Exchange hashpartitioning\(loan_header_id", plan)
+
+
+def test_landed_rows_with_several_changes_fail_and_facts_come_from_the_latest(tables):
+    t = loans(tables, loan_status="Originated", updated_datetime=NEW, loan_amount=5)
+    twice = t["lms_base_loans"]
+    t.given["lms_base_loans"] = twice.unionAll(twice)
+    with pytest.raises(Exception, match="several rows"):
+        loan.loan_job(t, t["dim_loan"], t["reject_log"], W, NOW).table.collect()
+    # The changed row is merged; a later row outside the window only brings facts.
+    late = loans(tables, loan_status="Pending", updated_datetime="1999-01-01 00:00:00", loan_amount=7)["lms_base_loans"]
+    t.given["lms_base_loans"] = twice.unionAll(late)
+    job = loan.loan_job(t, t["dim_loan"], t["reject_log"], W, NOW)
+    assert rows(job.table, "base_loan_id", "loan_amount") == [("1", "7.00")]
+    assert job.flagged.agg(*job.step_counts()).first()["merge"] == 1
+    t.given["lms_base_loans"] = late.withColumn("base_loan_id", F.lit(None).cast("long"))
+    assert rows(loan.loan_job(t, t["dim_loan"], t["reject_log"], W, NOW).table, "base_loan_id") == [("1",)]
+
+
 # --- payments ------------------------------------------------------------------------------
 
 CASCADE = [  # id, status, mode, set before, ach, funding, date expected

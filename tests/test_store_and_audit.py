@@ -3,7 +3,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from tallyhouse.functions.change_window import ChangeWindow
-from tallyhouse.plans import audit, customer
+from tallyhouse.plans import audit, customer, payment
 from tallyhouse.plans.job import JobResult, Step
 from tallyhouse.sources import reports, scan, store
 from tallyhouse.streaming.upsert import not_late, stream_landing, upsert_stream
@@ -15,24 +15,16 @@ def numbers(spark, *values):
     return spark.createDataFrame([(k, f"v{k}") for k in values], "k long, v string")
 
 
-def test_snapshots_replace_the_table_they_were_read_from(spark, folder):
+def test_a_table_is_replaced_by_rows_computed_from_it(spark, folder):
     path = f"{folder}/t"
     with pytest.raises(FileNotFoundError):
         store.read_table(spark, path)
-    store.write_snapshot(numbers(spark, 1, 2), path, NOW)
-    store.write_snapshot(store.read_table(spark, path).filter("k = 1"), path, NOW)
+    store.replace(numbers(spark, 1, 2), path, f"{folder}/s1")
+    store.replace(store.read_table(spark, path).filter("k = 1"), path, f"{folder}/s2")
     assert rows(store.read_table(spark, path), "k") == [("1",)]
-    assert store.current_version(spark, path) == 2
-
-
-def test_a_failed_write_leaves_the_old_version_current(spark, folder):
-    path = f"{folder}/t"
-    store.write_snapshot(numbers(spark, 1), path, NOW)
     with pytest.raises(Exception, match="broken"):
-        store.write_snapshot(numbers(spark, 2).withColumn("v", F.raise_error(F.lit("broken")).cast("string")), path, NOW)
+        store.replace(numbers(spark, 2).withColumn("v", F.raise_error(F.lit("broken")).cast("string")), path, f"{folder}/s3")
     assert rows(store.read_table(spark, path), "k") == [("1",)]
-    store.write_snapshot(numbers(spark, 3), path, NOW)
-    assert rows(store.read_table(spark, path), "k") == [("3",)]
 
 
 def test_append_truncate_and_reports(spark, folder):
@@ -48,23 +40,40 @@ def test_append_truncate_and_reports(spark, folder):
     assert rows(spark.read.text(f"{folder}/text"), "value") == [("v1",)]
 
 
-def test_bucketed_merge_rewrites_only_the_touched_buckets(spark, folder):
-    path, buckets = f"{folder}/t", 8
-    store.write_bucketed(numbers(spark, *range(100)), path, ["k"], buckets)
+def test_changes_rewrite_only_the_partitions_they_touch(spark, folder):
+    path, buckets, stages = f"{folder}/t", 8, iter(range(9))
+    store.write_table(numbers(spark, *range(100), None), path, ["k"], buckets)
 
     def files():
         read = spark.read.parquet(path).select(store.BUCKET, F.input_file_name().alias("file")).distinct().collect()
         return {r[0]: r[1] for r in read}
 
+    def apply(*changes):
+        stage = f"{folder}/changes{next(stages)}"
+        spark.createDataFrame(list(changes), "k long, v string, gone boolean").write.parquet(stage)
+        return store.apply_changes(spark, path, spark.read.parquet(stage), ["k"], buckets, "gone")
+
     before = files()
-    changes = spark.createDataFrame([(5, "new"), (1000, "new")], "k long, v string")
-    touched = store.merge_bucketed(spark, path, changes, ["k"], buckets, f"{folder}/stage")
+    touched = apply((5, "new", None), (1000, "new", False), (7, "v7", True))
     after = files()
-    assert {b for b in before if before[b] != after[b]} == set(touched) and len(touched) <= 2
-    table = spark.read.parquet(path)
-    assert table.count() == 101
+    assert {b for b in before if before[b] != after[b]} == set(touched) and 0 < len(touched) <= 3
+    table = store.read_table(spark, path)
+    assert table.columns == ["k", "v"] and table.count() == 101 and table.filter("k = 7").count() == 0
     assert rows(table.filter("v = 'new'"), "k") == [("1000",), ("5",)]
-    assert store.merge_bucketed(spark, path, changes.limit(0), ["k"], buckets, f"{folder}/stage2") == []
+    held = rows(table, "k", "v")
+    # The same changes again, and none, change nothing.
+    assert apply((5, "new", None), (1000, "new", False), (7, "v7", True)) == touched and apply() == []
+    assert rows(store.read_table(spark, path), "k", "v") == held
+    assert apply((None, "null", False)) and rows(store.read_table(spark, path).filter("k IS NULL"), "v") == [("null",)]
+
+
+def test_a_partition_whose_rows_all_go_is_empty_to_readers(spark, folder):
+    path = f"{folder}/t"
+    store.write_table(numbers(spark, 1, 2), path, ["k"], 1)
+    for k, stage in ((1, "a"), (2, "b")):
+        spark.createDataFrame([(k, "x", True)], "k long, v string, gone boolean").write.parquet(f"{folder}/{stage}")
+        store.apply_changes(spark, path, spark.read.parquet(f"{folder}/{stage}"), ["k"], 1, "gone")
+    assert store.read_table(spark, path).count() == 0 and spark.read.parquet(path).count() == 1
 
 
 def test_scan_helpers(spark, folder):
@@ -79,7 +88,7 @@ def test_scan_helpers(spark, folder):
 def test_landing_is_read_with_declared_types(spark, folder):
     spark.createDataFrame([(1, "x")], "lead_source_id long, description string").write.parquet(f"{folder}/lead_source.parquet")
     read = scan.read_landing(spark, folder, "lead_source")
-    assert read.dtypes == [("description", "string"), ("lead_source_id", "bigint")]
+    assert read.dtypes == [("description", "string"), ("lead_source_id", "bigint"), ("start_datetime", "timestamp_ntz")]
 
 
 def test_watermark_counts_successful_batches_only(spark):
@@ -96,7 +105,7 @@ def house(spark, folder, tables):
     tables.add("upm_organizations", {"organization_id": 1}).add("lms_customer_info_flat", {"customer_id": 1, "organization_id": 1}, {"customer_id": 2, "organization_id": 1})
     tables.add("dim_customer", {"customer_id": 2, "lms_code": "JAG"}, {"customer_id": 3, "lms_code": "JAG"})
     warehouse = audit.Warehouse(spark, folder)
-    warehouse.write("dim_customer", tables["dim_customer"], NOW)
+    warehouse.write("dim_customer", tables["dim_customer"], tuple(customer.KEYS))
     warehouse.record("etl_jobs", spark.createDataFrame([(7, "dim_customer", None, None, None)], audit.JOBS))
     return warehouse
 
@@ -133,7 +142,7 @@ def test_overlapping_jobs_keep_each_others_batches(house, tables):
 
     def during(warehouse, window):
         result = load(warehouse, window)
-        warehouse.write("other", warehouse.read("dim_customer"), NOW)
+        warehouse.write("other", warehouse.read("dim_customer"))
         audit.run_job(warehouse, "other", 2, 8, NOW, lambda w, _: JobResult(w.read("other"), w.read("other").columns, (Step("all", "Update", F.lit(True)),)))
         return result
 
@@ -142,18 +151,38 @@ def test_overlapping_jobs_keep_each_others_batches(house, tables):
     assert audit.next_window(house.batches(), 8, "2001-01-03 00:00:00").start == NOW
 
 
-def test_a_commit_from_a_stale_version_is_refused(spark, folder):
-    path = f"{folder}/t"
-    store.write_snapshot(numbers(spark, 1), path, NOW)
-    base = store.current_version(spark, path)
-    store.write_snapshot(numbers(spark, 2), path, NOW)
-    with pytest.raises(store.StaleVersion):
-        store.write_snapshot(numbers(spark, 3), path, NOW, base=base)
-    assert rows(store.read_table(spark, path), "k") == [("2",)]
-    store.write_snapshot(numbers(spark, 4), path, NOW)
-    assert store.retain(spark, path, 1) == [1, 2]
-    assert rows(store.read_table(spark, path), "k") == [("4",)] and store.current_version(spark, path) == 3
-    assert store.retain(spark, path, 1) == []
+def test_a_load_leaves_other_partitions_alone_and_logs_each_slice(spark, folder, tables):
+    items = [{"payment_schedule_item_id": str(i), "payment_schedule_id": i, "item_date": "2000-01-01", "_snowflake_inserted_at": "2000-06-01"} for i in range(1, 7)]
+    tables.add("lms_payment_schedule_items", *items[:5]).add("lms_payment_schedules", *[{"payment_schedule_id": i, "base_loan_id": i} for i in range(1, 6)])
+    tables.add("lms_base_loans", *[{"base_loan_id": i, "customer_id": i} for i in range(1, 6)])
+    tables.add("lms_customer_info_flat", *[{"customer_id": i, "organization_id": o} for i, o in enumerate((1, 3, 4, 9, None), 1)])
+    many = [{"payment_schedule_item_id": str(i), "item_date": "1990-01-01"} for i in range(1000, 1040)]
+    kept = tables["lms_payment_schedule_items"].unionByName(tables.build("lms_payment_schedule_items", [{"payment_schedule_item_id": str(i)} for i in range(1000, 1040)]))
+    tables.given["lms_payment_schedule_items"] = kept
+    house = audit.Warehouse(spark, folder, buckets=64)
+    house.write("dim_payment_schedule", tables.build("dim_payment_schedule", [*many, {"payment_schedule_item_id": "gone", "item_date": "1990-01-01"}]), tuple(payment.KEYS))
+
+    def files():
+        return {r[0] for r in spark.read.parquet(house.path("dim_payment_schedule")).select(F.input_file_name()).distinct().collect()}
+
+    def job(warehouse, window):
+        table = warehouse.read("dim_payment_schedule")
+        return payment.payment_job(tables, table, tables.build("dim_payment_schedule", []), window, NOW)
+
+    before = files()
+    counts = {name: n for name, _, n in audit.run_job(house, "dim_payment_schedule", 1, 3, NOW, job, appended=("dim_payment_schedule_removed",))}
+    assert [counts[f"merge slice {k}"] for k in (1, 2, 3, 4)] == [1, 0, 2, 1] and counts["delete_removed"] == 1
+    assert len(before & files()) >= len(before) - 5
+    table = house.read("dim_payment_schedule")
+    assert table.count() == 44 and table.filter("payment_schedule_item_id = 'gone'").count() == 0
+    assert house.step_log().filter("log_type = 'Merge'").count() == 4
+
+
+def test_staged_rows_are_written_once_and_logged(spark, folder):
+    house = audit.Warehouse(spark, folder)
+    read = house.staged("stg", numbers(spark, 1, 2), 5)
+    assert rows(read, "k") == [("1",), ("2",)] and "FileScan" in read._jdf.queryExecution().executedPlan().toString()
+    assert rows(house.step_log(), "batch_id", "log_message") == [("5", "Insert succeeded, row count = 2")]
 
 
 def test_side_tables_grow_or_are_replaced(house, spark):
@@ -186,6 +215,6 @@ def test_stream_of_landing_files_merges_like_batches(spark, folder):
     for part in data:
         spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(landing)
         stream = stream_landing(spark, landing, spark.createDataFrame([], schema).schema)
-        query = upsert_stream(stream, table, f"{folder}/checkpoint", ["k"], ["t"], NOW)
+        query = upsert_stream(stream, table, f"{folder}/checkpoint", ["k"], ["t"])
         query.awaitTermination(120)
     assert rows(store.read_table(spark, table), "k", "v") == [("1", "d"), ("2", "b"), ("3", "e")]
