@@ -47,7 +47,8 @@ def op2_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return suffix_dedup.deduplicated(docs, keep=["doc_id"]).select(
-        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256).alias("kept_sha256"))
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256).alias("kept_sha256"),
+        F.array_join(F.transform("removed", lambda r: F.concat_ws(":", r["start"], r["end"])), ",").alias("removed"))
 
 
 @query

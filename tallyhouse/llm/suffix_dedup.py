@@ -1,17 +1,20 @@
 """Removal of byte strings that stand anywhere else, by interval expansion on Burrows-Wheeler transforms.
 
 Every string of LENGTH bytes holds an anchor: the 32 bytes in it whose hash is least, the first of equals. Equal strings
-have equal anchors, so strings can only recur among the runs of starts that share an anchor. For each anchor that
-stands in two places or more, the runs with their LENGTH - 1 following bytes (segments) meet in one task; equal
-segments are counted before. A task joins segments to blocks of bounded size, builds the Burrows-Wheeler transform of
-a block and finds common prefixes by extending intervals backwards, breadth first: depth by depth the boundaries
-between suffixes with that many bytes in common are marked, until depth LENGTH. Suffixes whose boundary is still
+have equal anchors, so strings can only recur among the runs of starts that share an anchor. Copies of a text, and equal
+segments (runs with their LENGTH - 1 following bytes) within a text, recur for certain and are told at once; one of each
+goes on. For each anchor that is left in two places or more, the segments meet in one task; equal ones are counted before. Of
+a string over an anchor, at least half of the other bytes stand on one side of it, so a segment goes on only if another
+one of its anchor has the same bytes on a side. A task joins segments to blocks of bounded size, builds the Burrows-Wheeler
+transform of a block and finds common prefixes by extending intervals backwards, breadth first: depth by depth the
+boundaries between suffixes with that many bytes in common are marked, until depth LENGTH. Suffixes whose boundary is still
 unmarked have LENGTH bytes in common. An anchor with very many different segments is split by further anchors.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,15 +31,17 @@ GRAM = 32
 # most 768) before it is split.
 CHUNK = 1 << 20
 BLOCK_BYTES = 2 << 20
-SEGMENTS = 6000
+SEGMENTS = 2000
 LEVELS = 4
+# Segments that a task of the last stage takes (some 600 bytes each).
+TASK_SEGMENTS = 100_000
 MULTIPLIERS = [np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5)]
 
 OCCURRENCE_ARROW = pa.schema([
     ("digest", pa.binary()), ("copies", pa.int64()), ("start", pa.int64()), ("anchor", pa.int64()),
-    ("segment", pa.binary()), ("content", pa.binary()),
+    ("place", pa.int64()), ("segment", pa.binary()), ("content", pa.binary()),
 ])
-OCCURRENCE = "digest binary, copies long, start long, anchor long, segment binary, content binary"
+OCCURRENCE = "digest binary, copies long, start long, anchor long, place long, segment binary, content binary"
 SPANS = "array<struct<a:bigint,b:bigint>>"
 
 
@@ -53,9 +58,9 @@ def gram_hashes(data: bytes, level: int) -> np.ndarray:
     return h
 
 
-def runs(data: bytes, level: int = 0, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(anchor, first start, number of starts) of each run of starts whose strings have the same anchor in one place."""
-    found = []
+def runs(data: bytes, level: int = 0, length: int = LENGTH) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(anchor, first start, number of starts, place of the anchor) of each run of starts whose strings have the same anchor
+    in one place; chunk by chunk."""
     for at in range(0, len(data) - length + 1, CHUNK):
         h = gram_hashes(data[at : at + CHUNK + length - 1], level)
         # The place in the low bits makes the first of equal hashes the least.
@@ -68,10 +73,57 @@ def runs(data: bytes, level: int = 0, length: int = LENGTH) -> tuple[np.ndarray,
         least = np.minimum(least[:n], least[width - size : width - size + n])
         place = (least & np.uint64(0xFFFFFF)).astype(np.int64)
         first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
-        found.append((h[place[first]].view(np.int64), first + at, np.diff(np.append(first, n))))
-    if not found:
-        return (np.zeros(0, np.int64),) * 3
-    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+        yield h[place[first]].view(np.int64), first + at, np.diff(np.append(first, n)), place[first] + at
+
+
+def own_runs(data: bytes, length: int) -> tuple[list[tuple[int, int, int, int, int]], list[tuple[int, int]]]:
+    """(anchor, first start, number of starts, place of the anchor, times) of each different segment of a text, and the ranges
+    of starts whose segments stand in the text more than once.
+
+    A text of a short period has as many segments as starts, but few different ones.
+    """
+    known: dict[tuple[int, bytes], list] = {}
+    found, again = [], []
+    for anchors, firsts, counts, places in runs(data, 0, length):
+        for run in zip(anchors.tolist(), firsts.tolist(), counts.tolist(), places.tolist(), strict=True):
+            key = (run[0], run[2], run[3] - run[1])
+            held = known.get(key)
+            if held is None:
+                known[key] = [len(found)]
+                found.append([*run, 1])
+                continue
+            segment = data[run[1] : run[1] + run[2] + length - 1]
+            for k in held:
+                first = found[k][1]
+                if data[first : first + len(segment)] == segment:
+                    found[k][4] += 1
+                    again += [(first, first + run[2]), (run[1], run[1] + run[2])]
+                    if len(again) > 10_000:
+                        again = merged_ranges(again)
+                    break
+            else:
+                held.append(len(found))
+                found.append([*run, 1])
+    return [tuple(f) for f in found], merged_ranges(again)
+
+
+def merged_ranges(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(ranges):
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out
+
+
+def half_shared(segments: list[bytes], places: list[int], length: int) -> list[bool]:
+    """Of segments of one anchor, `places` in them, which share half a string's other bytes on a side of it with another."""
+    half = (length - GRAM) // 2
+    left = [hash(s[p - half : p]) if p >= half else None for s, p in zip(segments, places, strict=True)]
+    right = [hash(s[p + GRAM : p + GRAM + half]) if p + GRAM + half <= len(s) else None for s, p in zip(segments, places, strict=True)]
+    lefts, rights = Counter(left), Counter(right)
+    return [x is not None and lefts[x] > 1 or y is not None and rights[y] > 1 for x, y in zip(left, right, strict=True)]
 
 
 def suffix_order(t: np.ndarray, depth: int) -> np.ndarray:
@@ -183,8 +235,8 @@ def occurrences(rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays(
             [pa.array(c, f.type) for c, f in zip(zip(*held, strict=True), OCCURRENCE_ARROW, strict=True)], schema=OCCURRENCE_ARROW)
 
-    for digest, copies, start, anchor, segment in rows:
-        held.append((digest, copies, start, anchor, segment, hashlib.blake2b(segment, digest_size=16).digest()))
+    for digest, copies, start, anchor, place, segment in rows:
+        held.append((digest, copies, start, anchor, place, segment, hashlib.blake2b(segment, digest_size=16).digest()))
         size += len(segment)
         if size > 4 << 20:
             yield batch()
@@ -215,17 +267,17 @@ def split_anchors(found: DataFrame, length: int) -> DataFrame:
         def split(it, level=level):
             def rows():
                 for batch in it:
-                    for digest, copies, start, anchor, data, _ in zip(*[batch.column(c) for c in OCCURRENCE_ARROW.names], strict=True):
+                    for digest, copies, start, anchor, _, data, _ in zip(*[batch.column(c) for c in OCCURRENCE_ARROW.names], strict=True):
                         data, at = data.as_py(), start.as_py()
                         if level == LEVELS:
                             for i in range(len(data) - length + 1):
                                 own = data[i : i + length]
                                 key = int.from_bytes(hashlib.blake2b(own, digest_size=8).digest(), "little", signed=True)
-                                yield digest.as_py(), copies.as_py(), at + i, key, own
+                                yield digest.as_py(), copies.as_py(), at + i, key, 0, own
                             continue
-                        anchors, first, count = runs(data, level, length)
-                        for a, f, c in zip(mixed(anchor.as_py(), anchors).tolist(), first.tolist(), count.tolist(), strict=True):
-                            yield digest.as_py(), copies.as_py(), at + f, a, data[f : f + c + length - 1]
+                        for anchors, *rest in runs(data, level, length):
+                            for a, f, c, p in zip(mixed(anchor.as_py(), anchors).tolist(), *[x.tolist() for x in rest], strict=True):
+                                yield digest.as_py(), copies.as_py(), at + f, a, p - f, data[f : f + c + length - 1]
             return occurrences(rows())
 
         further = found.join(hot, "anchor", "left_semi").select(found.columns).mapInArrow(split, OCCURRENCE)
@@ -237,25 +289,29 @@ def split_anchors(found: DataFrame, length: int) -> DataFrame:
 def recurring(df: DataFrame, text: str, digest: str, length: int = LENGTH) -> DataFrame:
     """(digest, spans): per text with a string that recurs, the ranges [a, b) of starts of such strings, in any order."""
     texts = df.select(F.col(digest).alias("digest"), text_or_empty(text).cast("binary").alias("data"))
+    names = ["anchor", "first", "count", "place", "times"]
+    ranges = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
 
     def anchors(it):
         for batch in it:
-            each = [runs(d.as_py(), 0, length) for d in batch.column("data")]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("digest"), *[pa.array([e[k] for e in each], pa.list_(pa.int64())) for k in range(3)]],
-                names=["digest", "anchors", "firsts", "counts"])
-
-    kinds = "digest binary, anchors array<long>, firsts array<long>, counts array<long>"
-    looked = stored(texts.filter(F.octet_length("data") >= length).mapInArrow(anchors, kinds))
-    often = looked.select(F.explode("anchors").alias("anchor")).groupBy("anchor").agg(F.count(F.lit(1)).alias("n"))
+            each = [own_runs(d.as_py(), length) for d in batch.column("data")]
+            columns = [pa.array([[r[k] for r in found] for found, _ in each], pa.list_(pa.int64())) for k in range(len(names))]
+            spans = pa.array([[{"a": a, "b": b} for a, b in known] for _, known in each], ranges)
+            starts = pa.array([len(d.as_py()) - length + 1 for d in batch.column("data")], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("digest"), *columns, spans, starts], names=["digest", *names, "known", "starts"])
+
+    kinds = f"digest binary, {', '.join(f'{c} array<long>' for c in names)}, known {SPANS}, starts long"
+    looked = texts.filter(F.octet_length("data") >= length).mapInArrow(anchors, kinds)
+    # Copies of a text count once from here on.
+    one = stored(looked.groupBy("digest").agg(
+        F.count(F.lit(1)).alias("copies"), F.first(F.struct(*names, "known", "starts")).alias("r")))
+    each = one.select("digest", "copies", F.explode(F.arrays_zip(*[F.col(f"r.{c}") for c in names])).alias("r")).select(
+        "digest", "copies", "r.*")
+    often = each.select("anchor").groupBy("anchor").agg(F.count(F.lit(1)).alias("n"))
     # Written, so that the join below shuffles both sides itself and adaptive execution can split a common line's anchor.
     often = stored(often.filter("n > 1").select("anchor"))
-    # Copies of a text count once from here on.
-    one = looked.groupBy("digest").agg(F.count(F.lit(1)).alias("copies"), F.first(F.struct("anchors", "firsts", "counts")).alias("r"))
-    each = one.select("digest", "copies", F.explode(F.arrays_zip("r.anchors", "r.firsts", "r.counts")).alias("r"))
-    each = each.select("digest", "copies", F.col("r.anchors").alias("anchor"), F.col("r.firsts").alias("first"), F.col("r.counts").alias("count"))
     met = each.join(often, "anchor")
-    wanted = met.groupBy("digest").agg(F.max("copies").alias("copies"), F.collect_list(F.struct("anchor", "first", "count")).alias("runs"))
+    wanted = met.groupBy("digest").agg(F.max("copies").alias("copies"), F.collect_list(F.struct(*names)).alias("runs"))
     once = texts.groupBy("digest").agg(F.first("data").alias("data"))
 
     def segments(it):
@@ -264,77 +320,107 @@ def recurring(df: DataFrame, text: str, digest: str, length: int = LENGTH) -> Da
                 for digest, data, copies, own in zip(*[batch.column(c) for c in ("digest", "data", "copies", "runs")], strict=True):
                     data = data.as_py()
                     for r in own.as_py():
-                        yield digest.as_py(), copies.as_py(), r["first"], r["anchor"], data[r["first"] : r["first"] + r["count"] + length - 1]
+                        segment = data[r["first"] : r["first"] + r["count"] + length - 1]
+                        yield digest.as_py(), copies.as_py() * r["times"], r["first"], r["anchor"], r["place"] - r["first"], segment
         return occurrences(rows())
 
     found = stored(once.join(wanted, "digest").select("digest", "data", "copies", "runs").mapInArrow(segments, OCCURRENCE))
     found = split_anchors(found, length)
 
     def blocks(it):
-        held: list[tuple] = []
+        out: list[tuple] = []
+        block: list[tuple] = []
+        group: list[tuple] = []
         size = 0
 
-        def done():
-            spans = block_spans([h[2] for h in held], [h[3] for h in held], length)
-            return pa.RecordBatch.from_arrays(
-                [pa.array([h[0] for h in held], pa.int64()), pa.array([h[1] for h in held], pa.binary()),
-                 pa.array([[{"a": a, "b": b} for a, b in s] for s in spans], pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())])))],
-                names=["anchor", "content", "spans"])
+        def chosen():
+            """The group's segments: those that may share a string go into the block, of the others copies recur as a whole."""
+            for row, goes in zip(group, half_shared([r[2] for r in group], [r[4] for r in group], length), strict=True):
+                if goes:
+                    block.append(row)
+                elif row[3] > 1:
+                    out.append((row[0], row[1], [(0, len(row[2]) - length + 1)]))
+            group.clear()
+
+        def searched():
+            spans = block_spans([r[2] for r in block], [r[3] for r in block], length)
+            out.extend((r[0], r[1], s) for r, s in zip(block, spans, strict=True) if s)
+            block.clear()
+
+        def batch():
+            rows = [pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.binary()),
+                    pa.array([[{"a": a, "b": b} for a, b in o[2]] for o in out], ranges)]
+            out.clear()
+            return pa.RecordBatch.from_arrays(rows, names=["anchor", "content", "spans"])
+
+        for rows in it:
+            for row in zip(*[rows.column(c).to_pylist() for c in ("anchor", "content", "segment", "copies", "place")], strict=True):
+                if group and row[0] != group[-1][0]:
+                    chosen()
+                    size = sum(len(r[2]) for r in block) if block else 0
+                    if size > BLOCK_BYTES:
+                        searched()
+                    if len(out) > 4096:
+                        yield batch()
+                group.append(row)
+        chosen()
+        if block:
+            searched()
+        if out:
+            yield batch()
 
-        for batch in it:
-            for row in zip(*[batch.column(c).to_pylist() for c in ("anchor", "content", "segment", "copies")], strict=True):
-                if size > BLOCK_BYTES and row[0] != held[-1][0]:
-                    yield done()
-                    held, size = [], 0
-                held.append(row)
-                size += len(row[2])
-        if held:
-            yield done()
-
-    distinct = found.groupBy("anchor", "content").agg(F.first("segment").alias("segment"), F.sum("copies").alias("copies"))
-    shared = distinct.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(
+    distinct = found.groupBy("anchor", "content").agg(
+        F.first("segment").alias("segment"), F.sum("copies").alias("copies"), F.first("place").alias("place"))
+    tasks = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), found.count() // TASK_SEGMENTS)
+    shared = distinct.repartition(tasks, "anchor").sortWithinPartitions("anchor").mapInArrow(
         blocks, f"anchor long, content binary, spans {SPANS}")
     spans = found.select("digest", "start", "anchor", "content").join(shared, ["anchor", "content"]).select(
-        "digest", F.explode("spans").alias("s"), "start")
-    return spans.groupBy("digest").agg(F.collect_list(
-        F.struct((F.col("start") + F.col("s.a")).alias("a"), (F.col("start") + F.col("s.b")).alias("b"))).alias("spans"))
+        "digest", F.explode("spans").alias("s"), "start").select(
+        "digest", (F.col("start") + F.col("s.a")).alias("a"), (F.col("start") + F.col("s.b")).alias("b"))
+    whole = F.array(F.struct(F.lit(0).cast("long").alias("a"), F.col("r.starts").alias("b")))
+    known = one.select("digest", F.explode(F.when(F.col("copies") > 1, whole).otherwise(F.col("r.known"))).alias("s")).select("digest", "s.*")
+    return spans.unionByName(known).groupBy("digest").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
 
 
-def cut(data: bytes, spans: list[dict] | None, length: int) -> tuple[bytes, int]:
-    """The bytes that no recurring string covers, and how many runs were taken out."""
-    out, at, count = [], 0, 0
-    for a, b in sorted((s["a"], s["b"] + length - 1) for s in spans or ()):
-        if a > at or not count:
-            out.append(data[at:a])
-            count += 1
-        at = max(at, b)
-    return b"".join(out) + data[at:], count
+def cut(data: bytes, spans: list[dict] | None, length: int) -> tuple[bytes, list[tuple[int, int]]]:
+    """The bytes that no recurring string covers, and the maximal ranges taken out."""
+    gone = merged_ranges([(s["a"], s["b"] + length - 1) for s in spans or ()])
+    out, at = [], 0
+    for a, b in gone:
+        out.append(data[at:a])
+        at = b
+    return b"".join(out) + data[at:], gone
 
 
-CUT_TYPE = T.StructType([T.StructField("kept_bytes", T.BinaryType()), T.StructField("n_spans", T.LongType())])
+CUT_TYPE = T.StructType([
+    T.StructField("kept_bytes", T.BinaryType()),
+    T.StructField("removed", T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])))])
+CUT_ARROW = pa.struct([("kept_bytes", pa.binary()), ("removed", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))])
 
 
 def deduplicated(df: DataFrame, text: str = "text", length: int = LENGTH, keep: list[str] | None = None) -> DataFrame:
-    """The rows with `n_bytes`, `n_removed`, `n_spans` and `kept_bytes`, the text's UTF-8 bytes without recurring strings.
+    """The rows with `n_bytes`, `n_removed`, `n_spans`, `removed` (start and end of each maximal range taken out, in bytes) and
+    `kept_bytes`, the text's UTF-8 bytes without recurring strings.
 
     A byte goes if a string of `length` bytes over it starts anywhere else too, in the same document or another; copies of
     a document are others. Null texts count as empty; texts under `length` bytes stay whole. Bytes may be cut within a
     character. An empty table stays empty. Input columns of those names are replaced. `keep`: the input columns to
     return, all by default. Texts are told apart by their SHA-256.
     """
-    added = ("n_bytes", "n_removed", "n_spans", "kept_bytes")
+    added = ("n_bytes", "n_removed", "n_spans", "removed", "kept_bytes")
     rows = without(df, *added)
     kept = [c for c in rows.columns if keep is None or c in keep]
-    digest, data = fresh("digest", rows.columns), fresh("data", rows.columns)
+    digest, data, other, spans, done = (fresh(c, rows.columns) for c in ("digest", "data", "found_digest", "spans", "cut"))
     marked = rows.withColumn(data, text_or_empty(text).cast("binary")).withColumn(digest, F.unhex(F.sha2(data, 256)))
-    found = recurring(marked, text, digest, length).select(F.col("digest").alias("found_digest"), "spans")
+    found = recurring(marked, text, digest, length).select(F.col("digest").alias(other), F.col("spans").alias(spans))
 
     def cut_all(texts: pa.Array, spans: pa.Array) -> pa.Array:
-        done = [cut(t.as_py(), s.as_py(), length) for t, s in zip(texts, spans, strict=True)]
-        return pa.array([{"kept_bytes": k, "n_spans": n} for k, n in done], pa.struct([("kept_bytes", pa.binary()), ("n_spans", pa.int64())]))
+        each = [cut(t.as_py(), s.as_py(), length) for t, s in zip(texts, spans, strict=True)]
+        return pa.array([{"kept_bytes": k, "removed": [{"start": a, "end": b} for a, b in gone]} for k, gone in each], CUT_ARROW)
 
-    joined = marked.select(*kept, data, digest).join(found, F.col(digest) == F.col("found_digest"), "left")
-    out = joined.withColumn("cut", F.arrow_udf(cut_all, CUT_TYPE)(F.col(data), F.col("spans")))
+    joined = marked.select(*kept, data, digest).join(found, F.col(digest) == F.col(other), "left")
+    out = joined.withColumn(done, F.arrow_udf(cut_all, CUT_TYPE)(F.col(data), F.col(spans)))
     return out.select(
         *kept, F.octet_length(data).cast("long").alias("n_bytes"),
-        (F.octet_length(data) - F.octet_length("cut.kept_bytes")).cast("long").alias("n_removed"), "cut.n_spans", "cut.kept_bytes")
+        (F.octet_length(data) - F.octet_length(f"{done}.kept_bytes")).cast("long").alias("n_removed"),
+        F.size(f"{done}.removed").cast("long").alias("n_spans"), f"{done}.removed", f"{done}.kept_bytes")

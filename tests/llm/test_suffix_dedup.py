@@ -52,7 +52,8 @@ def test_runs_cover_all_starts_and_equal_strings_share_an_anchor(monkeypatch):
     rng = random.Random(3)
     text = bytes(rng.choices(b"abc ", k=3000)) + b"z" * 900
     text += text[100:1400]
-    anchors, first, count = S.runs(text)
+    anchors, first, count, place = (np.concatenate(x) for x in zip(*S.runs(text), strict=True))
+    assert ((place >= first + count - 1) & (place + S.GRAM <= first + 400)).all()
     assert first[0] == 0 and (first[1:] == first[:-1] + count[:-1]).all() and first[-1] + count[-1] == len(text) - 399
     by = {}
     for a, f, c in zip(anchors.tolist(), first.tolist(), count.tolist()):
@@ -62,9 +63,45 @@ def test_runs_cover_all_starts_and_equal_strings_share_an_anchor(monkeypatch):
 
 def removed(spark, texts):
     rows = by_id(S.deduplicated(docs(spark, *texts)))
+    for i, t in enumerate(texts):  # the ranges are those of the bytes kept
+        gone = {k for r in rows[i]["removed"] for k in range(r["start"], r["end"])}
+        assert bytes(b for k, b in enumerate(t.encode()) if k not in gone) == bytes(rows[i]["kept_bytes"])
     return [(bytes(rows[i]["kept_bytes"]), rows[i]["n_spans"]) for i in range(len(texts))]
 
 
+def test_equal_segments_of_a_text_are_told_at_once(monkeypatch):
+    monkeypatch.setattr(S, "CHUNK", 5000)
+    text = b"z" * 20_000
+    found, again = S.own_runs(text, 400)
+    assert len(found) < 10 and again == [(0, 20_000 - 399)]
+    rng = random.Random(1)
+    line = bytes(rng.choices(range(97, 123), k=900))
+    text = line + b"#" + line + b"?" + bytes(rng.choices(range(97, 123), k=900))
+    found, again = S.own_runs(text, 400)
+    starts = sum(f[2] * f[4] for f in found)
+    assert starts == len(text) - 399 and again and all(b <= 901 + 501 for _, b in again)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.integers(0, 10**6))
+def test_halves_keep_every_pair_with_a_common_string(seed):
+    rng = random.Random(seed)
+    anchor, segments, places = bytes(rng.choices(b"xyz", k=32)), [], []
+    sides = [bytes(rng.choices(b"ab", k=300)) for _ in range(2)]
+    for _ in range(6):
+        left, right = (bytearray(s) for s in sides)
+        left[rng.randrange(300)] ^= 1
+        right[rng.randrange(300)] ^= 1
+        a, b = rng.randint(0, 300), rng.randint(0, 300)
+        segments.append(bytes(left[300 - a :]) + anchor + bytes(right[:b]))
+        places.append(a)
+    goes = S.half_shared(segments, places, 200)
+    strings = [{(i - p, s[i : i + 200]) for i in range(max(0, p + 32 - 200), min(p, len(s) - 200) + 1)} for s, p in zip(segments, places, strict=True)]
+    for i in range(6):
+        if any(strings[i] & strings[j] for j in range(6) if j != i):
+            assert goes[i]
+
+
 @pytest.mark.parametrize("segments", [6000, 3])
 def test_against_all_strings(spark, monkeypatch, segments):
     monkeypatch.setattr(S, "SEGMENTS", segments)
@@ -92,7 +129,14 @@ def test_query(spark):
 
 
 def test_nulls_names_and_empty_tables(spark):
-    df = docs(spark, None, "", "é" * 500, "a" * 10, ids=[None, 1, 2, 3]).withColumn("digest", F.lit(1)).withColumn("spans_", F.lit(2))
-    rows = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.digest) for r in S.deduplicated(df).collect()}
-    assert rows == {None: (0, 0, 0, 1), 1: (0, 0, 0, 1), 2: (1000, 1000, 1, 1), 3: (10, 0, 0, 1)}
+    names = ["digest", "data", "spans", "found_digest", "cut", "removed", "anchor", "segment", "copies", "runs"]
+    df = docs(spark, None, "", "é" * 500, "a" * 10, ids=[None, 1, 2, 3]).withColumns({n: F.lit(1) for n in names})
+    rows = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.digest, r.spans, r.cut) for r in S.deduplicated(df).collect()}
+    assert rows == {None: (0, 0, 0, 1, 1, 1), 1: (0, 0, 0, 1, 1, 1), 2: (1000, 1000, 1, 1, 1, 1), 3: (10, 0, 0, 1, 1, 1)}
     assert S.deduplicated(df.limit(0)).count() == 0
+
+
+def test_a_long_text_of_one_byte(spark):
+    text = "z" * (3 * S.CHUNK // 2)
+    row = S.deduplicated(docs(spark, text, "z" * 450 + "y", "only once " * 9)).orderBy("doc_id").collect()
+    assert [(r.n_removed, r.n_spans) for r in row] == [(len(text), 1), (450, 1), (0, 0)]
