@@ -71,22 +71,22 @@ def frequent_pairs(keys: np.ndarray, least: int, most: int) -> tuple[np.ndarray,
     return ordered[at[often]], top
 
 
-def places_of(chosen: np.ndarray, symbols: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(places, which of the chosen pairs stands there) of the ascending places given."""
+def places_of(chosen: np.ndarray, keys: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(places, which of the chosen pairs stands there) of the ascending places `at` of the pairs `keys`."""
     left, right = np.unique(chosen >> 16), np.unique(chosen & 0xFFFF)
     is_left, is_right = np.zeros(65_536, bool), np.zeros(65_536, bool)
     is_left[left], is_right[right] = True, True
-    at = at[is_left[symbols[at]]]
-    at = at[is_right[symbols[at + 1]]]
+    some = is_left[keys >> 16]
+    some &= is_right[keys & 0xFFFF]
+    at, keys = at[some], keys[some]
     if len(left) * len(right) <= TABLE:
         row, column = np.zeros(65_536, np.int32), np.zeros(65_536, np.int32)
         row[left], column[right] = np.arange(len(left)) * len(right), np.arange(len(right))
         table = np.full(len(left) * len(right), -1, np.int32)
         table[row[chosen >> 16] + column[chosen & 0xFFFF]] = np.arange(len(chosen))
-        which = table[row[symbols[at]] + column[symbols[at + 1]]]
+        which = table[row[keys >> 16] + column[keys & 0xFFFF]]
         return at[which >= 0], which[which >= 0]
     order = np.argsort(chosen)
-    keys = symbols[at].astype(np.uint32) << 16 | symbols[at + 1]
     found = np.searchsorted(chosen[order], keys).clip(max=len(chosen) - 1)
     same = chosen[order][found] == keys
     return at[same], order[found[same]]
@@ -120,10 +120,10 @@ def compress(symbols: np.ndarray, end_id: int, vocabulary: int) -> tuple[np.ndar
         usable[odd_places(symbols)] = False
         if fresh:  # what else occurs often enough was replaced before, so pairs with a new symbol are counted first
             new = symbols >= fresh
-            at = np.flatnonzero((new[:-1] | new[1:]) & usable)
-        else:
-            at = np.flatnonzero(usable)
-        chosen, top = frequent_pairs(symbols[at].astype(np.uint32) << 16 | symbols[at + 1], least, 65_536 - vocabulary - len(rules))
+            usable &= new[:-1] | new[1:]
+        at = np.flatnonzero(usable)
+        keys = symbols[:-1][usable].astype(np.uint32) << 16 | symbols[1:][usable]
+        chosen, top = frequent_pairs(keys, least, 65_536 - vocabulary - len(rules))
         if not len(chosen):
             if not fresh:
                 break
@@ -131,7 +131,7 @@ def compress(symbols: np.ndarray, end_id: int, vocabulary: int) -> tuple[np.ndar
             continue
         fresh = vocabulary + len(rules) if least == LEAST_COUNT else 0
         least = max(LEAST_COUNT, min(least, top) // STEP)
-        at, which = places_of(chosen, symbols, at)
+        at, which = places_of(chosen, keys, at)
         kept = without_overlap(at, which)
         # Of pairs that overlap with better ones, enough must be left; the best pair loses none, so rounds come to an end.
         enough = np.bincount(which[kept], minlength=len(chosen)) >= LEAST_COUNT

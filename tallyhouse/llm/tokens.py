@@ -25,6 +25,8 @@ LETTERS = "a-z" + "".join(c for c in LATIN if unicodedata.category(c)[0] == "L")
 NUMBERS = "0-9" + "".join(c for c in LATIN if unicodedata.category(c)[0] == "N")
 # Contractions, runs of letters, single numbers and runs of other signs, as the files of lower-cased words cut them.
 WORDS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{NUMBERS}]|[^ \t\n\r{LETTERS}{NUMBERS}]+")
+# The kind of each sure character: blank 0, letter 1, number 2, other sign 3.
+KINDS = np.array([0 if chr(c) in "\t\n\r " else {"L": 1, "N": 2}.get(unicodedata.category(chr(c))[0], 3) for c in range(0x250)], np.uint8)
 # Stands for the end mark of a word in texts and vocabulary; sure texts do not hold it.
 END = "\x01"
 
@@ -36,6 +38,24 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + k): b for k, b in enumerate(rest)}
 
 
+def ended_words(text: str) -> str:
+    """The words of a sure text in lower case, each followed by END; what WORDS finds, by the kinds of neighbouring characters."""
+    if "'" in text:  # contractions are words whatever stands beside them
+        return "".join([w + END for w in WORDS.findall(text)])
+    points = np.frombuffer(text.encode("utf-32-le"), "<u4")
+    kind = KINDS[points]
+    last = np.ones(len(kind), bool)
+    np.not_equal(kind[1:], kind[:-1], out=last[:-1])
+    last |= kind == 2
+    shown = kind != 0
+    last = last[shown]
+    place = np.arange(len(last))
+    place[1:] += np.cumsum(last[:-1])
+    out = np.full(len(last) + int(last.sum()), ord(END), "<u4")
+    out[place] = points[shown]
+    return out.tobytes().decode("utf-32-le")
+
+
 class Vocabulary:
     """What a tokenizer file states: ids, merges in the order of their rank, the end mark, special tokens."""
 
@@ -89,7 +109,7 @@ class Encoder:
         if UNSURE.search(text) or (self.special and self.special.search(text)):
             return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         if self.ended:
-            text = "".join([w + END for w in WORDS.findall(text.lower())])
+            text = ended_words(text.lower())
         return self.core.encode_to_numpy(text).astype("<u4", copy=False).tobytes()
 
 
