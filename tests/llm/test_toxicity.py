@@ -109,7 +109,7 @@ def test_held_out_accuracy(spark, folder):
     labels = read(spark, folder, "labels").select("doc_id", "toxic")
     rows = all_queries()["op10_toxicity"](spark, folder).join(labels, "doc_id").filter("held_out").collect()
     true = sum(r.predicted and r.toxic for r in rows)
-    assert len(rows) > 1000 and true / sum(r.predicted for r in rows) > 0.95 and true / sum(r.toxic for r in rows) > 0.8
+    assert len(rows) > 1000 and true / sum(r.predicted for r in rows) > 0.95 and true / sum(r.toxic for r in rows) > 0.9
     assert all(0 <= r.score <= 1 for r in rows)
 
 
