@@ -249,7 +249,14 @@ def _(t):
 
 @query("filter_change_window")
 def _(t):
-    return t["lms_payment_schedule_items"].filter(changed(W, *S.CHANGE_COLUMNS)).select(ITEM, *S.CHANGE_COLUMNS)
+    return _changed_items(t).select(ITEM, *S.CHANGE_COLUMNS)
+
+
+def _changed_items(t) -> DataFrame:
+    """The items changed in the window, from landing files that are laid out by change."""
+    path = f"{scratch(t.spark)}/lms_payment_schedule_items"
+    scan.land_by_change(t["lms_payment_schedule_items"], path, S.CHANGE_COLUMNS)
+    return scan.read_changed(t.spark, path, W, S.CHANGE_COLUMNS)
 
 
 @query("filter_change_window_two_tables")
@@ -714,7 +721,13 @@ def _corrected_payments(t, only) -> DataFrame:
     return payment.correct_payments(t, t["dim_payment_schedule"], W, only)[0].select(*PAYMENT_STEP_COLUMNS)
 
 
-QUERIES["payment_source"] = lambda t: payment.payment_source(t, W, NOW)
+@query("payment_source")
+def _(t):
+    names = ("lms_base_loans", "lms_customer_info_flat", "lms_payment_schedules")
+    landing = {name: t[name] for name in names} | {"lms_payment_schedule_items": _changed_items(t)}
+    return payment.payment_source(landing, W, NOW)
+
+
 QUERIES["payment_merge"] = lambda t: payment.payment_merge(t, t["dim_payment_schedule"], W, NOW).select(*t["dim_payment_schedule"].columns)
 for _step in ("failed_clear", "failed_card", "failed_ach", "failed_missed", "failed_funding", "auxiliary_sync", "tracking_id"):
     QUERIES[f"payment_{_step}"] = partial(_corrected_payments, only=(_step,))

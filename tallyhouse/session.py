@@ -20,12 +20,23 @@ SETTINGS = {
 }
 
 
-def build_session(master: str | None = None, app: str = "tallyhouse", **settings: str) -> SparkSession:
-    """A session with the engine's settings; `settings` (dots as `__`) override them."""
+# Bytes of input for each shuffle partition.
+PARTITION_BYTES = 128 << 20
+
+
+def build_session(
+    master: str | None = None, app: str = "tallyhouse", input_bytes: int | None = None, **settings: str
+) -> SparkSession:
+    """A session with the engine's settings; `settings` (dots as `__`) override them.
+
+    `input_bytes`: what the largest job reads; shuffles get a partition for each PARTITION_BYTES of it, 200 at least, which
+    adaptive execution joins again where less moves.
+    """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     overrides = {key.replace("__", "."): value for key, value in settings.items()}
-    for key, value in {**SETTINGS, **overrides}.items():
+    sized = {} if input_bytes is None else {"spark.sql.shuffle.partitions": str(max(200, -(-input_bytes // PARTITION_BYTES)))}
+    for key, value in {**SETTINGS, **sized, **overrides}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

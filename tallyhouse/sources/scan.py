@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.functions.change_window import moment
+from tallyhouse.functions.change_window import ChangeWindow, changed, moment
 from tallyhouse.sources import schemas as S
 
 # Columns a landing table has and its operational source has not.
@@ -24,6 +24,27 @@ def read_landing(spark: SparkSession, folder: str, name: str, file_format: str =
     return spark.read.format(file_format).schema(S.struct(name)).load(f"{folder.rstrip('/')}/{name}.{file_format}")
 
 
+CHANGED_ON = "_changed_on"
+
+
+def land_by_change(df: DataFrame, path: str, change_columns: Sequence[str]) -> None:
+    """Write a landing table partitioned by the month of each row's last change."""
+    latest = F.greatest(*change_columns) if len(change_columns) > 1 else F.col(change_columns[0])
+    dated = df.withColumn(CHANGED_ON, F.trunc(latest.cast("date"), "month"))
+    dated.hint("rebalance", CHANGED_ON).write.mode("overwrite").partitionBy(CHANGED_ON).parquet(path)
+
+
+def read_changed(spark: SparkSession, path: str, window: ChangeWindow, change_columns: Sequence[str]) -> DataFrame:
+    """The rows of such a table with a change in the window.
+
+    A row changed in the window was last changed in it or later, so months before its start are not read; within the
+    others the window itself reaches the scan.
+    """
+    table = spark.read.parquet(path)
+    since = F.col(CHANGED_ON) >= F.trunc(moment(window.start).cast("date"), "month")
+    return table.filter(since & changed(window, *change_columns)).drop(CHANGED_ON)
+
+
 def read_jdbc(
     spark: SparkSession, url: str, table: str, partition_column: str | None = None,
     lower: str | None = None, upper: str | None = None, partitions: int = 64, **options: str,

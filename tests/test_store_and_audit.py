@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -5,6 +7,7 @@ from pyspark.sql import functions as F
 from tallyhouse.functions.change_window import ChangeWindow
 from tallyhouse.plans import audit, customer, payment
 from tallyhouse.plans.job import JobResult, Step
+from tallyhouse.session import build_session
 from tallyhouse.sources import reports, scan, store
 from tallyhouse.streaming.upsert import not_late, stream_landing, upsert_stream
 
@@ -85,6 +88,35 @@ def test_scan_helpers(spark, folder):
     assert scan.add_landing_columns(plain).columns[2:] == list(scan.LANDING_ONLY)
 
 
+def test_a_window_prunes_landing_laid_out_by_change(spark, folder):
+    stamps = [("a", "1998-01-10", None), ("b", "1997-05-05", "1998-01-20"), ("c", "1997-05-05", "1997-06-01"),
+              ("d", None, None), ("e", "1998-01-15", "1998-03-01"), ("f", "1998-02-02", None)]
+    df = spark.createDataFrame(stamps, "k string, i string, u string").select("k", *[F.col(c).cast("timestamp_ntz").alias(c) for c in "iu"])
+    scan.land_by_change(df, f"{folder}/t", ["i", "u"])
+    window = ChangeWindow("1998-01-01 00:00:00", "1998-02-01 00:00:00")
+    read = scan.read_changed(spark, f"{folder}/t", window, ["i", "u"])
+    assert read.columns == ["k", "i", "u"] and rows(read, "k") == [("a",), ("b",), ("e",)]
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^]]*_changed_on[^]]*>= ", plan) and re.search(r"PushedFilters: \[Or\(And\(", plan)
+
+
+def test_both_window_queries_push_their_window_down(spark):
+    from tallyhouse.checks.queries import all_queries
+
+    for key in ("filter_change_window", "payment_source"):
+        plan = all_queries()[key](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        assert re.search(r"PartitionFilters: \[[^]]*_changed_on", plan) and re.search(r"PushedFilters: \[[^]]*_snowflake_", plan), key
+
+
+def test_shuffle_partitions_follow_the_input(spark):
+    held = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert build_session(input_bytes=100 << 40).conf.get("spark.sql.shuffle.partitions") == str(100 * 8192)
+        assert build_session(input_bytes=5).conf.get("spark.sql.shuffle.partitions") == "200"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", held)
+
+
 def test_landing_is_read_with_declared_types(spark, folder):
     spark.createDataFrame([(1, "x")], "lead_source_id long, description string").write.parquet(f"{folder}/lead_source.parquet")
     read = scan.read_landing(spark, folder, "lead_source")
