@@ -8,7 +8,8 @@ a string over an anchor, at least half of the other bytes stand on one side of i
 one of its anchor has the same bytes on a side. A task joins segments to blocks of bounded size, builds the Burrows-Wheeler
 transform of a block and finds common prefixes by extending intervals backwards, breadth first: depth by depth the
 boundaries between suffixes with that many bytes in common are marked, until depth LENGTH. Suffixes whose boundary is still
-unmarked have LENGTH bytes in common. An anchor with very many different segments is split by further anchors.
+unmarked have LENGTH bytes in common. An anchor with very many different segments is split by the bytes on either side of it,
+then by further anchors.
 """
 
 from __future__ import annotations
@@ -31,8 +32,8 @@ GRAM = 32
 # most 768) before it is split.
 CHUNK = 1 << 20
 BLOCK_BYTES = 2 << 20
-SEGMENTS = 2000
-LEVELS = 4
+SEGMENTS = 6000
+LEVELS = 5
 # Segments that a task of the last stage takes (some 600 bytes each).
 TASK_SEGMENTS = 100_000
 MULTIPLIERS = [np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5)]
@@ -251,10 +252,22 @@ def mixed(parent: int, anchors: np.ndarray) -> np.ndarray:
     return (both * MULTIPLIERS[2]).view(np.int64)
 
 
+def sides(anchor: int, place: int, data: bytes, length: int) -> Iterator[tuple[int, int, int, int]]:
+    """(key, first, last, place) of the two parts of a segment's starts: strings with half their other bytes before the anchor
+    and those with half behind it. Equal strings have the same bytes there, so they have equal keys."""
+    half = (length - GRAM) // 2
+    last = len(data) - length
+    for side, first, end, at in ((b"<", 0, min(last, place - half), place - half), (b">", max(0, place - half), last, place + GRAM)):
+        if first <= end:
+            key = hashlib.blake2b(side + anchor.to_bytes(8, "little", signed=True) + data[at : at + half], digest_size=8).digest()
+            yield int.from_bytes(key, "little", signed=True), first, end, place - first
+
+
 def split_anchors(found: DataFrame, length: int) -> DataFrame:
-    """The occurrences, those of anchors with over SEGMENTS different segments dealt to anchors of further levels.
+    """The occurrences, those of anchors with over SEGMENTS different segments dealt to keys of further levels.
 
-    The last level's anchor is the string itself, so that what is left together there are equal segments.
+    The first level's keys are an anchor with the bytes on one side of it, at most two a segment; then come anchors by other
+    hashes. The last level's key is the string itself, so that what is left together there are equal segments.
     """
     done = None
     for level in range(1, LEVELS + 1):
@@ -267,15 +280,19 @@ def split_anchors(found: DataFrame, length: int) -> DataFrame:
         def split(it, level=level):
             def rows():
                 for batch in it:
-                    for digest, copies, start, anchor, _, data, _ in zip(*[batch.column(c) for c in OCCURRENCE_ARROW.names], strict=True):
+                    for digest, copies, start, anchor, place, data, _ in zip(*[batch.column(c) for c in OCCURRENCE_ARROW.names], strict=True):
                         data, at = data.as_py(), start.as_py()
+                        if level == 1:
+                            for key, first, last, own in sides(anchor.as_py(), place.as_py(), data, length):
+                                yield digest.as_py(), copies.as_py(), at + first, key, own, data[first : last + length]
+                            continue
                         if level == LEVELS:
                             for i in range(len(data) - length + 1):
                                 own = data[i : i + length]
                                 key = int.from_bytes(hashlib.blake2b(own, digest_size=8).digest(), "little", signed=True)
                                 yield digest.as_py(), copies.as_py(), at + i, key, 0, own
                             continue
-                        for anchors, *rest in runs(data, level, length):
+                        for anchors, *rest in runs(data, level - 1, length):
                             for a, f, c, p in zip(mixed(anchor.as_py(), anchors).tolist(), *[x.tolist() for x in rest], strict=True):
                                 yield digest.as_py(), copies.as_py(), at + f, a, p - f, data[f : f + c + length - 1]
             return occurrences(rows())

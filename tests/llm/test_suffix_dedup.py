@@ -100,6 +100,19 @@ def test_halves_keep_every_pair_with_a_common_string(seed):
     for i in range(6):
         if any(strings[i] & strings[j] for j in range(6) if j != i):
             assert goes[i]
+    keys = {}  # every string is in a part, and equal ones meet under one key
+    for s, p in zip(segments, places, strict=True):
+        if len(s) < 200:
+            continue
+        parts = list(S.sides(7, p, s, 200))
+        assert {k for _, a, b, _ in parts for k in range(a, b + 1)} == set(range(len(s) - 199))
+        for key, a, b, own in parts:
+            assert own == p - a
+            for k in range(max(a, p - 168), min(b, p) + 1):  # strings that hold the anchor
+                keys.setdefault((k - p, s[k : k + 200]), set()).add(key)
+    assert all(len(k) <= 2 for k in keys.values())
+    middle = [k for (at, _), k in keys.items() if at != -84]
+    assert all(len(k) == 1 for k in middle)
 
 
 @pytest.mark.parametrize("segments", [6000, 3])
