@@ -39,7 +39,7 @@ def _closure(texts: list[str]) -> list[str]:
 
 
 def add(key: str, final: str, columns: str | list[str], *steps: tuple[str, str]) -> None:
-    """Register SQL. `columns` are the result's; `name:d` is handed out as double, `name:t` as
+    """Register SQL; steps named once_... are computed once. `columns` are the result's; `name:d` is handed out as double, `name:t` as
     timestamp, and so are columns whose declared type is a decimal or a date."""
     def shown(column: str) -> str:
         name, _, form = column.partition(":")
@@ -54,7 +54,7 @@ def add(key: str, final: str, columns: str | list[str], *steps: tuple[str, str])
     ctes = [(name, TABLES[name]) for name in _closure([text for _, text in steps] + [final])] + list(steps)
     body = f"SELECT {', '.join(shown(c) for c in columns)} FROM ({final}) r"
     if ctes:
-        body = "WITH " + ", ".join(f"{name} AS ({text})" for name, text in ctes) + " " + body
+        body = "WITH " + ", ".join(f"{name} AS {'MATERIALIZED ' if name.startswith('once_') else ''}({text})" for name, text in ctes) + " " + body
     for name in (*BASE_TABLES, *TABLES):
         body = body.replace(f"{{{name}}}", name)
     SQL[key] = body.replace("timestamp_ntz", "timestamp")
@@ -615,14 +615,23 @@ TABLE_COLUMNS = {
 
 def pair_columns(name: str, key: str) -> str:
     """Rows of keys on both sides less the values they share, column by column."""
-    paired = f"(SELECT CAST(sum(least(source_rows, target_rows)) AS BIGINT) FROM ({keyed(name, f'{name}_copy', key)}) d)"
     return " UNION ALL ".join(
-        f"SELECT 'old.{name}' AS source_table, 'dwh.{name}' AS target_table, '{c}' AS column_name, {paired} - (SELECT count(*) FROM (SELECT {key}, {c} FROM {{{name}}} INTERSECT ALL SELECT {key}, {c} FROM {{{name}_copy}}) q) AS mismatched_rows"
+        f"SELECT 'old.{name}' AS source_table, 'dwh.{name}' AS target_table, '{c}' AS column_name, (SELECT n FROM once_paired_{name}) - (SELECT count(*) FROM (SELECT {key}, {c} FROM once_source_{name} INTERSECT ALL SELECT {key}, {c} FROM once_target_{name}) q) AS mismatched_rows"
         for c in TABLE_COLUMNS[name] if c != key)
 
 
+def pair_steps(name: str, key: str) -> list[tuple[str, str]]:
+    def count(side: str) -> str:
+        return f"(SELECT {key}, count(*) AS n FROM once_{side}_{name} GROUP BY 1)"
+
+    return [
+        (f"once_source_{name}", f"SELECT * FROM {{{name}}}"), (f"once_target_{name}", f"SELECT * FROM {{{name}_copy}}"),
+        (f"once_paired_{name}", f"SELECT CAST(sum(least(s.n, t.n)) AS BIGINT) AS n FROM {count('source')} s JOIN {count('target')} t ON s.{key} = t.{key}"),
+    ]
+
+
 add("recon_pair_columns", " UNION ALL ".join(pair_columns(n, key) for n, key in DIMENSION_MAP.items()),
-    "source_table target_table column_name mismatched_rows")
+    "source_table target_table column_name mismatched_rows", *[step for n, key in DIMENSION_MAP.items() for step in pair_steps(n, key)])
 add("recon_row_count", with_match([counted("1 AS one", "{dim_loan}", "{dim_loan_copy}")]), "source_count target_count count_match")
 add("recon_null_counts", "SELECT *, CASE WHEN source_nulls = target_nulls THEN 'Match' ELSE 'Mismatch' END AS null_match FROM (" + " UNION ALL ".join(
     f"SELECT '{c}' AS column_name, (SELECT count(*) FROM {{dim_loan}} WHERE {c} IS NULL) AS source_nulls, (SELECT count(*) FROM {{dim_loan_copy}} WHERE {c} IS NULL) AS target_nulls"
