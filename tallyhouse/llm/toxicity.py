@@ -29,8 +29,8 @@ from tallyhouse.llm.common import text_or_empty, without
 FIT_ROWS = 20_000
 STEMS = range(3, 9)
 # An entry stands in so many toxic documents, and they are such a share of all that hold it.
-LEAST_TOXIC = 3
-LEAST_PURE = 0.8
+LEAST_TOXIC = 5
+LEAST_PURE = 0.85
 PREDICT = 0.7
 
 # Of a learned threat's toxic documents this share has a target within so many words behind it.
