@@ -253,10 +253,16 @@ def _(t):
 
 
 def _changed_items(t) -> DataFrame:
-    """The items changed in the window, from landing files that are laid out by change."""
-    path = f"{scratch(t.spark)}/lms_payment_schedule_items"
-    scan.land_by_change(t["lms_payment_schedule_items"], path, S.CHANGE_COLUMNS)
-    return scan.read_changed(t.spark, path, W, S.CHANGE_COLUMNS)
+    """The items changed in the window, from landing files that are laid out by change, once a session and data folder."""
+    key = (t.spark.sparkContext.applicationId, t.folder)
+    if key not in LANDED:
+        path = f"{scratch(t.spark)}/lms_payment_schedule_items"
+        scan.land_by_change(t["lms_payment_schedule_items"], path, S.CHANGE_COLUMNS)
+        LANDED[key] = path
+    return scan.read_changed(t.spark, LANDED[key], W, S.CHANGE_COLUMNS)
+
+
+LANDED: dict[tuple[str, str], str] = {}
 
 
 @query("filter_change_window_two_tables")
