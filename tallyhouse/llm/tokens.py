@@ -19,7 +19,8 @@ import public_tokenizers
 import tiktoken
 from tokenizers import Tokenizer
 
-LATIN = [chr(c) for c in range(0xA1, 0x250) if chr(c) != "İ"]  # that one becomes two characters in lower case
+# Latin letters and signs that stay one of them in lower case: İ becomes two characters, Ɓ a letter of a later block.
+LATIN = [chr(c) for c in range(0xA1, 0x250) if len(chr(c).lower()) == 1 and ord(chr(c).lower()) < 0x250]
 UNSURE = re.compile("[^\t\n\r\x20-\x7e" + "".join(LATIN) + "]")
 LETTERS = "a-z" + "".join(c for c in LATIN if unicodedata.category(c)[0] == "L")
 NUMBERS = "0-9" + "".join(c for c in LATIN if unicodedata.category(c)[0] == "N")

@@ -55,6 +55,11 @@ def test_ids_of_odd_texts(text):
     assert all(same(name, text) for name in FILES)
 
 
+def test_capitals_whose_small_letter_is_of_a_later_block():
+    for c in map(chr, range(0xA1, 0x250)):
+        assert all(same(name, f"a{c}c {c}") for name in FILES), c
+
+
 def test_pieces_are_kept_up_to_a_bound(monkeypatch):
     monkeypatch.setattr(B, "KEPT_PIECES", 5)
     codec = B.Codec(FILES[0])

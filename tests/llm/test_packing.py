@@ -36,6 +36,12 @@ def test_ids_of_odd_texts(text):
         assert np.frombuffer(tokens.encoder(name).ids(text), "<u4").tolist() == library_ids(name, text)
 
 
+def test_capitals_whose_small_letter_is_of_a_later_block():
+    for c in map(chr, range(0xA1, 0x250)):
+        for text in (c, f"a{c}c {c}"):
+            assert np.frombuffer(tokens.encoder("word_bpe_49k.json").ids(text), "<u4").tolist() == library_ids("word_bpe_49k.json", text)
+
+
 LIBRARY = {}
 
 
