@@ -233,7 +233,7 @@ def write(df: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text",
     text, and as many as the session has shuffle partitions at least.
     """
     def blocks(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, shard = encoder(tokenizer, special_as_text).ids, TaskContext.get().partitionId()
+        encode, shard = encoder(tokenizer, special_as_text).each, TaskContext.get().partitionId()
         end = np.array([end_id], "<u4").tobytes()
         block, start, size, docs, ids = 0, 0, 0, [], []
 
@@ -243,9 +243,10 @@ def write(df: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text",
                 [pa.array([v], f.type) for v, f in zip((shard, block, start, size, data), BLOCK_ARROW, strict=True)], schema=BLOCK_ARROW)
 
         for batch in it:
-            for key, t in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            texts = (t.as_py() or "" for t in batch.column(1))
+            for key, own in zip(batch.column(0).to_pylist(), encode(texts), strict=True):
                 docs.append(key)
-                ids.append(np.frombuffer(encode(t.as_py() or "") + end, "<u4"))
+                ids.append(np.frombuffer(own + end, "<u4"))
                 size += len(ids[-1])
                 if size >= BLOCK_IDS:
                     yield ended()

@@ -9,6 +9,7 @@ from tokenizers import Tokenizer
 
 import public_tokenizers
 from tallyhouse.llm import repair_ids as R
+from tallyhouse.llm import tokens
 from tallyhouse.llm.queries import all_queries
 
 
@@ -57,6 +58,38 @@ def test_ids_beyond_the_vocabulary_are_refused():
         R.write_block([1], [np.array([49_408, 1], np.uint32)])
 
 
+class Counting:
+    """A core that counts the words handed to it."""
+
+    def __init__(self, core):
+        self.core, self.words = core, 0
+
+    def encode_to_numpy(self, text):
+        self.words += text.count(tokens.END)
+        return self.core.encode_to_numpy(text)
+
+
+def test_recurring_words_are_encoded_once(monkeypatch):
+    encoder = tokens.Encoder(R.TOKENIZER, False)
+    monkeypatch.setattr(encoder, "core", Counting(encoder.core))
+    texts = ["Unheard wordishly, it's", "wordishly unheard", "", "日本 unheard"] * 300
+    ids = list(encoder.each(texts))
+    assert ids[:4] == [np.array(encoder.library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts[:4]]
+    assert ids == ids[:4] * 300 and encoder.core.words == 5
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(alphabet="aB'sSérvelLdtm.,!1² \n\tΣƁ", max_size=12), max_size=8), st.integers(1, 20))
+def test_texts_taken_together_have_the_librarys_ids(texts, chunk):
+    tokens.CHUNK, held = chunk, tokens.CHUNK
+    try:
+        encoder = tokens.encoder(R.TOKENIZER)
+        got = [np.frombuffer(x, "<u4").tolist() for x in encoder.each(texts)]
+    finally:
+        tokens.CHUNK = held
+    assert got == [encoder.library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_query(spark, monkeypatch):
     monkeypatch.setattr(R, "BLOCK_IDS", 5000)
     rows = by_id(all_queries()["op4_repair_ids"](spark, FOLDER))
