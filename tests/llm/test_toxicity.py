@@ -98,6 +98,16 @@ def test_learned_entries_that_targets_follow_are_threats(spark):
     assert lexicon["gore"][0] == X.THREAT and lexicon["goof"][0] == X.INSULT
 
 
+def test_weights_are_those_of_the_least_loss_where_classes_are_nearly_parted():
+    # Whole Newton steps run away here: six rows between the classes have either label.
+    x = np.array([[0.0, 0.0]] * 500 + [[3.0, 8.0]] * 200 + [[0.3, 0.8]] * 6)
+    y = np.array([0.0] * 500 + [1.0] * 200 + [1.0, 1.0, 1.0, 0.0, 0.0, 0.0])
+    w = X.logistic(x, y)
+    p = 1 / (1 + np.exp(-(x @ w[:-1] + w[-1])))
+    slope = np.append(x, np.ones((len(x), 1)), axis=1).T @ (p - y) + np.array([0.05, 0.05, 1e-4]) * w
+    assert np.abs(slope).max() < 1e-6 and (p[:500] < 0.1).all() and (p[500:700] > 0.9).all()
+
+
 def test_clauses_end_at_full_stops():
     aimed = X.clause_features("you. idiot", {}, LEX)
     plain = X.clause_features("idiot. you", {}, LEX)
