@@ -127,3 +127,21 @@ def test_slices_do_not_replace_a_side_table_in_turn(spark, folder, payments):
     with pytest.raises(ValueError, match="would replace dim_payment_schedule_removed"):
         audit.run_job(house, "dim_payment_schedule", 1, 3, NOW, lambda w, _: payment.payment_job(
             payments, w.read_part("dim_payment_schedule"), payments.build("dim_payment_schedule", []), W, NOW, part=w.part))
+
+
+@pytest.mark.parametrize("parity", [False, True])
+def test_a_loan_job_in_slices_is_the_whole_job(spark, tables, parity):
+    tables.add("lms_base_loans", *[
+        {"base_loan_id": i, "loan_header_id": 100 + i // 2 if i % 5 else None, "customer_id": i, "loan_status": "Delinquent" if i % 2 else "Pending",
+         "loan_amount": i, "updated_datetime": "2000-05-01" if i % 3 else "1999-01-01"} for i in range(1, 13)])
+    tables.add("lms_loan_header", *[{"loan_header_id": 100 + i, "status": "Withdraw" if i % 2 else "Approved", "created_date": "2000-02-01",
+                                     "last_update": "1999-06-01", "first_name": f"n{i}"} for i in range(8)])
+    tables.add("lms_loanheader_state", *[{"loan_header_id": 100 + i, "id": i, "action": "open", "action_time": "2000-02-02"} for i in range(8)])
+    tables.add("collection_lms_loan_map", *[{"base_loan_id": i, "update_timestamp": "2000-04-04", "delinquency_date": "2000-03-03"} for i in range(1, 9)])
+    target = tables.build("dim_loan", [{"base_loan_id": i, "loan_header_id": 100, "loan_status": "Pending", "process_timestamp": "2000-06-01"} for i in (1, 2, 3, 20)])
+    rates = spark.createDataFrame([(i, "0.1") for i in range(1, 13)], "base_loan_id long, loan_interest_pct string")
+    job = partial(loan.loan_job, tables, target, tables["reject_log"], W, NOW, parity, START, rates)
+    landed = union(loan.landed_loans(SlicedTables(tables, loan.BY_HEADER, part), W, NOW) for part in store.parts(2))
+    whole, parts = job(), [job(landed, part) for part in store.parts(2)]
+    assert rows(union(p.table for p in parts), *whole.columns) == rows(whole.table, *whole.columns)
+    assert [sorted(p.appends) for p in parts] == [["reject_log"], []]
