@@ -145,3 +145,16 @@ def test_a_loan_job_in_slices_is_the_whole_job(spark, tables, parity):
     whole, parts = job(), [job(landed, part) for part in store.parts(2)]
     assert rows(union(p.table for p in parts), *whole.columns) == rows(whole.table, *whole.columns)
     assert [sorted(p.appends) for p in parts] == [["reject_log"], []]
+
+
+def test_a_large_pair_is_compared_in_slices(spark, folder, monkeypatch):
+    source = spark.createDataFrame([(i, f"a{i % 4}", i) for i in range(40)] + [(None, "x", 1), (7, "y", 2)], "k long, a string, b long")
+    target = spark.createDataFrame([(i, f"a{i % 5}", i + i % 2) for i in range(3, 44)] + [(None, "z", 1), (7, "y", 3)], "k long, a string, b long")
+    pair = reconcile.TablePair("s", "t", None, None, keys=("k",))
+    whole = reconcile.pair_columns(pair, source, target)
+    monkeypatch.setattr(store, "SLICE_ROWS", 10)
+    held = shuffle_files(spark)
+    sliced = reconcile.pair_columns(pair, source, target, f"{folder}/counts")
+    assert not left_behind(spark, held)
+    assert sliced.dtypes == whole.dtypes and rows(sliced, *whole.columns) == rows(whole, *whole.columns)
+    assert spark.read.parquet(f"{folder}/counts/t").count() > 3 * whole.count()
